@@ -8,6 +8,8 @@ from mercato.plans.registry import ORACLE, QUERIES
 
 _MODULES = [
     "mercato.plans.q_features",
+    "mercato.plans.q_pairs",
+    "mercato.plans.q_quality",
 ]
 
 
