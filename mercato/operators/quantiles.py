@@ -24,12 +24,15 @@ def percentile_disc_expr(c: str, q: float) -> Column:
     return F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
 
 
-def _distributed_quantile(values: DataFrame, c: str, q: float) -> Column:
+def _cumulative(values: DataFrame, c: str) -> tuple[DataFrame, Column]:
+    """Distinct non-NULL values of ``c`` with ``_pos`` = number of rows with
+    a value <= it, and the scalar row count ``n``."""
     vc = values.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_cnt"))
     ensure_checkpoint_dir(values.sparkSession)
     pinned = vc.orderBy(c).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
     totals = pinned.groupBy(pid.alias("_pid")).agg(F.sum("_cnt").alias("_tot"))
+    # One row per sort partition: bounded by the partition count.
     offsets = totals.withColumn(
         "_off",
         F.coalesce(
@@ -42,7 +45,31 @@ def _distributed_quantile(values: DataFrame, c: str, q: float) -> Column:
         "_cum", F.sum("_cnt").over(Window.partitionBy("_pid").orderBy("_mid"))
     )
     located = running.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_off") + F.col("_cum"))
-    return located.where(F.col("_pos") >= F.lit(q) * n).select(F.min(c)).scalar()
+    return located, n
+
+
+def _value_at(located: DataFrame, c: str, rank: Column) -> Column:
+    """Value of 1-based rank ``rank`` in sorted order (scalar subquery)."""
+    return located.where(F.col("_pos") >= rank).select(F.min(c)).scalar()
+
+
+def _distributed_quantile(values: DataFrame, c: str, q: float) -> Column:
+    located, n = _cumulative(values, c)
+    return _value_at(located, c, F.lit(q) * n)
+
+
+def exact_median(df: DataFrame, c: str, distinct_limit: int = DEFAULT_DISTINCT_LIMIT) -> Column:
+    """Interpolated median (mean of the two middle values for an even
+    count), as pandas ``median`` and SQL ``median``. Returns a scalar
+    subquery column."""
+    values = df.select(F.col(c).cast("double").alias(c))
+    n_distinct = values.select(c).distinct().limit(distinct_limit + 1).count()
+    if n_distinct <= distinct_limit:
+        return values.select(F.median(c)).scalar()
+    located, n = _cumulative(values, c)
+    lo = F.floor((n - 1) / 2) + 1
+    hi = F.ceil((n - 1) / 2) + 1
+    return (_value_at(located, c, lo) + _value_at(located, c, hi)) / 2
 
 
 def exact_quantile(

@@ -92,7 +92,7 @@ def rank_distinct(
     # ``offsets`` has one row per partition of the sort: bounded by the
     # shuffle partition count, so broadcasting it is safe.
     ranked = pinned.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid").select(
-        c, (F.col("_off") + F.bitwise_and(F.col("_mid"), F.lit((1 << 33) - 1))).cast("int").alias(out)
+        c, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias(out)
     )
     return ranked, False
 

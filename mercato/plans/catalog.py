@@ -10,6 +10,7 @@ _MODULES = [
     "mercato.plans.q_features",
     "mercato.plans.q_pairs",
     "mercato.plans.q_quality",
+    "mercato.plans.q_eda",
 ]
 
 
