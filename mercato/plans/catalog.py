@@ -11,6 +11,7 @@ _MODULES = [
     "mercato.plans.q_pairs",
     "mercato.plans.q_quality",
     "mercato.plans.q_eda",
+    "mercato.plans.q_store",
 ]
 
 

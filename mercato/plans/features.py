@@ -320,3 +320,29 @@ def user_item_features(
     )
     uif = min_max_normalize(uif, {"ui_interaction_score": "ui_interaction_score_norm"})
     return uif.select(*USER_ITEM_FEATURE_COLUMNS)
+
+
+# Provenance of each feature column (catalogue ``source``); anything not
+# listed is derived from other features.
+FEATURE_SOURCES = {
+    **dict.fromkeys(
+        [
+            "user_total_events", "user_distinct_items", "user_preferred_device", "user_view_count",
+            "user_click_count", "user_cart_count", "item_total_interactions", "item_unique_users",
+            "item_view_count", "item_click_count", "item_cart_count", "ui_total_interactions",
+            "ui_views", "ui_clicks", "ui_carts", "ui_purchases_events",
+        ],
+        "clickstream",
+    ),
+    **dict.fromkeys(
+        [
+            "user_purchase_count", "user_total_spend", "user_avg_spend", "user_max_spend",
+            "user_total_quantity", "user_distinct_purchased_items", "user_preferred_category",
+            "item_purchase_count", "item_total_quantity_sold", "item_total_revenue",
+            "item_avg_order_value", "item_unique_buyers", "ui_has_purchased",
+        ],
+        "transactions",
+    ),
+    **dict.fromkeys(["category", "brand", "price", "stock", "review_count", "item_avg_rating"], "catalog"),
+    **dict.fromkeys(["popularity_score", "trend_score", "item_avg_sentiment", "item_return_rate"], "external"),
+}
