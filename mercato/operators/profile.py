@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from mercato.functions.columns import count_when, missing
-from mercato.operators.quantiles import exact_quantile
+from mercato.operators.quantiles import exact_quantile, small_distinct
 from mercato.operators.rules import TableSpec
 
 
@@ -41,6 +41,7 @@ def column_profile(
     for c in cols:
         exprs.append(count_when(missing(c, types[c])).alias(f"__miss_{c}"))
     scalar_medians = {}
+    small = small_distinct(df, list(spec.numeric_cols)) if exact_median else {}
     for c in spec.numeric_cols:
         x = F.col(c).cast("double")
         exprs += [
@@ -50,17 +51,24 @@ def column_profile(
             F.stddev_samp(x).alias(f"__std_{c}"),
         ]
         if exact_median:
-            med, is_agg = exact_quantile(df, c, 0.5)
+            med, is_agg = exact_quantile(df, c, 0.5, small=small[c])
             if is_agg:
                 exprs.append(med.alias(f"__med_{c}"))
             else:
                 scalar_medians[c] = med
         else:
             exprs.append(F.percentile_approx(x, 0.5).alias(f"__med_{c}"))
-    for c in spec.cardinality_cols:
-        f = F.approx_count_distinct if approx_cardinality else F.countDistinct
-        exprs.append(f(F.col(c)).alias(f"__card_{c}"))
     wide = df.agg(*exprs)
+    if spec.cardinality_cols:
+        # Distinct counts in their own narrow aggregate: several exact
+        # distinct counts make Spark expand each row once per column, which
+        # should not drag every other statistic along.
+        f = F.approx_count_distinct if approx_cardinality else F.countDistinct
+        card = df.select(*spec.cardinality_cols).agg(
+            *[f(F.col(c)).alias(f"__card_{c}") for c in spec.cardinality_cols]
+        )
+        for c in spec.cardinality_cols:
+            wide = wide.withColumn(f"__card_{c}", card.select(f"__card_{c}").scalar())
     for c, med in scalar_medians.items():
         wide = wide.withColumn(f"__med_{c}", med)
 

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from mercato.session import ensure_checkpoint_dir
 
-DEFAULT_DISTINCT_LIMIT = 1_000_000
+# Largest distinct-value count whose exact quantile is taken by one
+# ``percentile_disc`` (a value -> count map in the final task, ~100 MB).
+DEFAULT_DISTINCT_LIMIT = 4_000_000
 
 
 def percentile_disc_expr(c: str, q: float) -> Column:
@@ -63,8 +65,7 @@ def exact_median(df: DataFrame, c: str, distinct_limit: int = DEFAULT_DISTINCT_L
     count), as pandas ``median`` and SQL ``median``. Returns a scalar
     subquery column."""
     values = df.select(F.col(c).cast("double").alias(c))
-    n_distinct = values.select(c).distinct().limit(distinct_limit + 1).count()
-    if n_distinct <= distinct_limit:
+    if small_distinct(values, [c], distinct_limit)[c]:
         return values.select(F.median(c)).scalar()
     located, n = _cumulative(values, c)
     lo = F.floor((n - 1) / 2) + 1
@@ -72,15 +73,27 @@ def exact_median(df: DataFrame, c: str, distinct_limit: int = DEFAULT_DISTINCT_L
     return (_value_at(located, c, lo) + _value_at(located, c, hi)) / 2
 
 
+def small_distinct(df: DataFrame, cols: list[str], limit: int = DEFAULT_DISTINCT_LIMIT) -> dict[str, bool]:
+    """Which columns have at most ``limit`` distinct values, from one
+    HyperLogLog pass (5 % relative standard error; the estimate is
+    compared with half the limit, a margin of many standard errors, so an
+    underestimate cannot pass a column that is really over the limit)."""
+    if not cols:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
+    return {c: (row[c] or 0) <= limit // 2 for c in cols}
+
+
 def exact_quantile(
-    df: DataFrame, c: str, q: float, distinct_limit: int = DEFAULT_DISTINCT_LIMIT
+    df: DataFrame, c: str, q: float, distinct_limit: int = DEFAULT_DISTINCT_LIMIT, small: bool | None = None
 ) -> tuple[Column, bool]:
     """Return (expression, is_aggregate). When the distinct-value count is
     within ``distinct_limit`` the expression is a ``percentile_disc``
     aggregate to put into a single-pass ``agg``; otherwise it is a scalar
     subquery computed by the distributed path."""
     values = df.select(F.col(c).cast("double").alias(c))
-    n_distinct = values.select(c).distinct().limit(distinct_limit + 1).count()
-    if n_distinct <= distinct_limit:
+    if small is None:
+        small = small_distinct(values, [c], distinct_limit)[c]
+    if small:
         return percentile_disc_expr(c, q), True
     return _distributed_quantile(values, c, q), False

@@ -17,6 +17,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.quantiles import small_distinct
 from mercato.session import ensure_checkpoint_dir
 
 # Largest distinct-value table that is ranked in one task and broadcast.
@@ -57,15 +58,21 @@ def log1p_columns(df: DataFrame, cols: str | Sequence[str] | Mapping[str, str])
 
 
 def rank_distinct(
-    values: DataFrame, c: str, out: str, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT
+    values: DataFrame,
+    c: str,
+    out: str,
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+    small: bool | None = None,
 ) -> tuple[DataFrame, bool]:
     """Dense rank from 0 of the distinct values of column ``c`` (ascending,
     NULL first). Returns (ranked frame with columns ``c``, ``out``; whether
-    it is small enough to broadcast).
+    it is small enough to broadcast). ``small`` is the outcome of a size
+    check already made by the caller.
     """
     distinct = values.select(c).distinct()
-    n = distinct.limit(broadcast_limit + 1).count()
-    if n <= broadcast_limit:
+    if small is None:
+        small = small_distinct(values, [c], broadcast_limit)[c]
+    if small:
         ranked = distinct.withColumn(
             out, (F.dense_rank().over(Window.orderBy(F.col(c).asc_nulls_first())) - 1).cast("int")
         )
@@ -105,9 +112,10 @@ def label_encode(
     """``dense_rank() over (order by c) - 1`` without a global window over
     all rows: NULL takes code 0 when present, then values ascending."""
     mapping = _as_map(cols, "_enc")
+    sizes = small_distinct(df, list(mapping), broadcast_limit)
     out = df
     for src, dst in mapping.items():
-        ranked, small = rank_distinct(df, src, dst, broadcast_limit)
+        ranked, small = rank_distinct(df, src, dst, broadcast_limit, small=sizes[src])
         ranked = ranked.withColumnRenamed(src, "_enc_value")
         side = F.broadcast(ranked) if small else ranked
         out = out.join(side, out[src].eqNullSafe(side["_enc_value"]), "left").drop("_enc_value")
