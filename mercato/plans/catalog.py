@@ -12,6 +12,7 @@ _MODULES = [
     "mercato.plans.q_quality",
     "mercato.plans.q_eda",
     "mercato.plans.q_store",
+    "mercato.plans.q_sources",
 ]
 
 
