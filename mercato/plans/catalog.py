@@ -13,6 +13,7 @@ _MODULES = [
     "mercato.plans.q_eda",
     "mercato.plans.q_store",
     "mercato.plans.q_sources",
+    "mercato.plans.q_streaming",
 ]
 
 
