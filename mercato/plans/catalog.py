@@ -14,6 +14,7 @@ _MODULES = [
     "mercato.plans.q_store",
     "mercato.plans.q_sources",
     "mercato.plans.q_streaming",
+    "mercato.plans.q_lineage",
 ]
 
 
