@@ -15,6 +15,7 @@ _MODULES = [
     "mercato.plans.q_sources",
     "mercato.plans.q_streaming",
     "mercato.plans.q_lineage",
+    "mercato.plans.q_extras",
 ]
 
 
