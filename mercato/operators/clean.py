@@ -123,13 +123,15 @@ def cleaning_waterfall(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def waterfall_with_total(parts: Sequence[DataFrame]) -> DataFrame:
-    """Per-source waterfalls plus a TOTAL row (sums; retention recomputed)."""
+    """Per-source waterfalls plus a TOTAL row, from one ``rollup`` over the
+    union (sums per source and overall; retention recomputed)."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    sums = [F.sum(c).cast("bigint").alias(c) for c in u.columns if c not in ("source", "retention_pct")]
-    total = u.agg(*sums).withColumn("source", F.lit("TOTAL"))
-    total = total.withColumn(
+    counts = [c for c in u.columns if c not in ("source", "retention_pct")]
+    rolled = u.rollup("source").agg(*[F.sum(c).cast("bigint").alias(c) for c in counts])
+    rolled = rolled.withColumn("source", F.coalesce(F.col("source"), F.lit("TOTAL")))
+    return rolled.withColumn(
         "retention_pct",
         F.when(
             F.col("original_rows") > 0,
@@ -137,5 +139,4 @@ def waterfall_with_total(parts: Sequence[DataFrame]) -> DataFrame:
                 "double"
             ),
         ).otherwise(F.lit(0.0)),
-    )
-    return u.unionByName(total.select(*u.columns))
+    ).select(*u.columns)
