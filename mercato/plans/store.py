@@ -455,3 +455,62 @@ def as_of_join(
         m.getField("snapshot_ts").alias("snapshot_ts"),
         *[m.getField(c).alias(c) for c in value_cols],
     )
+
+
+# ---- registry tables (upserts) -------------------------------------------------------
+
+# Source names shown for catalogue sources.
+SOURCE_NAMES = {
+    "clickstream": "user_interaction_logs",
+    "transactions": "purchase_history",
+    "catalog": "product_catalog",
+    "external": "external_signals",
+    "derived": "derived",
+}
+
+
+def feature_definitions(catalogue: DataFrame, at: str) -> DataFrame:
+    """Registry rows from catalogue rows: id from md5(name_version), source
+    mapped by a join to the (bounded) source-name table, active flag and
+    times."""
+    spark = catalogue.sparkSession
+    names = spark.createDataFrame(list(SOURCE_NAMES.items()), "source string, source_table string")
+    t = F.lit(at).cast("timestamp")
+    return (
+        catalogue.join(F.broadcast(names), "source", "left")
+        .select(
+            short_id("feature_name", "version").alias("feature_id"),
+            "feature_name",
+            "feature_group",
+            "table_name",
+            "primary_key",
+            "dtype",
+            "feature_type",
+            "description",
+            F.coalesce("source_table", F.lit("derived")).alias("source_table"),
+            "version",
+            F.lit(True).alias("is_active"),
+            t.alias("created_at"),
+            t.alias("updated_at"),
+            F.to_json(F.array().cast("array<string>")).alias("tags"),
+        )
+    )
+
+
+def register_features(existing: DataFrame | None, new: DataFrame) -> DataFrame:
+    """INSERT OR REPLACE by feature_id."""
+    return new if existing is None else upsert(existing, new, ["feature_id"])
+
+
+def register_feature_sets(existing: DataFrame | None, sets: DataFrame, descriptions: Mapping[str, str], at: str) -> DataFrame:
+    spark = sets.sparkSession
+    desc = spark.createDataFrame(list(descriptions.items()), "set_name string, description string")
+    rows = sets.join(desc, "set_name", "left").select(
+        "set_name", "description", F.to_json("feature_names").alias("feature_names"), F.lit(at).cast("timestamp").alias("created_at")
+    )
+    return rows if existing is None else upsert(existing, rows, ["set_name"])
+
+
+def record_versions(existing: DataFrame | None, versions: DataFrame) -> DataFrame:
+    """Append version snapshots (keyed by version_id, latest wins)."""
+    return versions if existing is None else upsert(existing, versions, ["version_id"])
