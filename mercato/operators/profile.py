@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from mercato.functions.columns import count_when, missing
-from mercato.operators.quantiles import exact_quantile, small_distinct
+from mercato.operators.quantiles import exact_quantile_exprs
 from mercato.operators.rules import TableSpec
 
 
@@ -41,7 +41,7 @@ def column_profile(
     for c in cols:
         exprs.append(count_when(missing(c, types[c])).alias(f"__miss_{c}"))
     scalar_medians = {}
-    small = small_distinct(df, list(spec.numeric_cols)) if exact_median else {}
+    medians = exact_quantile_exprs(df, list(spec.numeric_cols), 0.5) if exact_median else {}
     for c in spec.numeric_cols:
         x = F.col(c).cast("double")
         exprs += [
@@ -51,7 +51,7 @@ def column_profile(
             F.stddev_samp(x).alias(f"__std_{c}"),
         ]
         if exact_median:
-            med, is_agg = exact_quantile(df, c, 0.5, small=small[c])
+            med, is_agg = medians[c]
             if is_agg:
                 exprs.append(med.alias(f"__med_{c}"))
             else:
