@@ -7,17 +7,19 @@ waterfall is a conditional count over the tags. Duplicates are counted
 among the survivors only, and the active filter runs last, on the
 deduplicated rows, as in the sequential version.
 
-Deduplication keeps one row per key with an explicit order
-(``min_by``/``max_by`` over the row), so the survivor is deterministic and
-the aggregation is partial: a hot key is combined on every executor before
-the shuffle, never buffered whole in one task.
+Deduplication keeps one row per key with an explicit order (the whole row
+breaks remaining ties), so the survivor is deterministic. It is a
+``row_number() = 1`` filter, which Spark plans with a partial
+``WindowGroupLimit`` before the shuffle: every executor keeps only its
+best row per key, so a hot key arrives at its reducer as one row per map
+partition, never as the whole group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import count_when, missing
@@ -57,10 +59,10 @@ def dedupe(
     if not keys:
         return df.dropDuplicates()
     cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(*[F.col(c) for c in order_by], row)
-    pick = F.min_by(row, order) if keep == "first" else F.max_by(row, order)
-    return df.groupBy(*keys).agg(pick.alias("_kept")).select(*[F.col(f"_kept.{c}").alias(c) for c in cols])
+    ordering = [F.col(c) for c in list(order_by) + cols]
+    ordering = [c.asc_nulls_first() for c in ordering] if keep == "first" else [c.desc_nulls_last() for c in ordering]
+    w = Window.partitionBy(*keys).orderBy(*ordering)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
