@@ -90,12 +90,23 @@ def cleaning_waterfall(df: DataFrame, spec: TableSpec) -> DataFrame:
         count_when(F.col("_reason").isNull()).alias("_survivors"),
     )
     survivors = tagged.where(F.col("_reason").isNull()).drop("_reason")
-    deduped = dedupe(survivors, list(spec.pk) or None, spec.order_by, spec.keep)
-    if spec.active_col:
-        inactive = count_when(~F.coalesce(F.col(spec.active_col) == F.lit(True), F.lit(False)))
+    if spec.active_col or not spec.pk:
+        # The active filter looks at the surviving row of each key, so the
+        # deduplicated rows are needed.
+        deduped = dedupe(survivors, list(spec.pk) or None, spec.order_by, spec.keep)
+        if spec.active_col:
+            inactive = count_when(~F.coalesce(F.col(spec.active_col) == F.lit(True), F.lit(False)))
+        else:
+            inactive = F.lit(0)
+        after = deduped.agg(F.count(F.lit(1)).alias("_deduped"), inactive.alias("removed_inactive"))
     else:
-        inactive = F.lit(0)
-    after = deduped.agg(F.count(F.lit(1)).alias("_deduped"), inactive.alias("removed_inactive"))
+        # Only the number of distinct keys among survivors matters: one
+        # distinct count, no sort of whole rows.
+        key = F.struct(*[F.col(c) for c in spec.pk])
+        after = tagged.agg(
+            F.countDistinct(F.when(F.col("_reason").isNull(), key)).alias("_deduped"),
+            F.lit(0).alias("removed_inactive"),
+        )
     q = {name: counts.select(name).scalar() for name in counts.columns}
     a = {name: after.select(name).scalar() for name in after.columns}
     one = spark.range(1).select(
