@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from mercato.operators import clean as C
 from mercato.plans import quality as Q
 from mercato.plans import quality_sql as S
@@ -181,3 +183,24 @@ def q_referential_integrity(spark, sf_dir):
 @register("scorecard", _scorecard_sql())
 def q_scorecard(spark, sf_dir):
     return Q.scorecard(source_frames(spark, sf_dir), SPECS)
+
+
+def _row_counts_sql() -> str:
+    ctes = [S.clean_ctes(SPECS[n], SQL_VIEW[n], f"rc_{n}") for n in SPECS]
+    sel = " UNION ALL ".join(
+        f"SELECT '{n}' AS source, (SELECT count(*) FROM {SQL_VIEW[n]}) AS bronze_rows, (SELECT count(*) FROM rc_{n}) AS silver_rows"
+        for n in SPECS
+    )
+    return with_views(ALL_VIEWS, ",\n".join(ctes) + "\n" + sel)
+
+
+@register("source_row_counts", _row_counts_sql())
+def q_source_row_counts(spark, sf_dir):
+    """Rows per source after load (bronze) and after cleaning (silver)."""
+    frames = source_frames(spark, sf_dir)
+    rows = []
+    for n, df in frames.items():
+        bronze = df.select(F.count(F.lit(1))).scalar()
+        silver = C.clean(df, SPECS[n]).select(F.count(F.lit(1))).scalar()
+        rows.append(F.struct(F.lit(n).alias("source"), bronze.alias("bronze_rows"), silver.alias("silver_rows")))
+    return spark.range(1).select(F.inline(F.array(*rows)))

@@ -346,3 +346,40 @@ def q_point_in_time_training(spark, sf_dir):
     clicks = T.clickstream(spark, sf_dir)
     labels = clicks.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     return ST.as_of_join(labels, _daily_snapshots(clicks), "user_id", "ts", "snapshot_ts", ["day_events"])
+
+
+REGISTERED_AT = "2024-02-01 00:00:00"
+_SRC_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in ST.SOURCE_NAMES.items())
+
+
+@register(
+    "feature_registry",
+    "WITH "
+    + _catalogue_values_sql(_CAT_ROWS)
+    + f""",
+srcv(source, source_table) AS (VALUES {_SRC_VALUES})
+SELECT substring(md5(c.feature_name || '_' || c.version), 1, 12) AS feature_id, c.feature_name, c.feature_group,
+       c.table_name, c.primary_key, c.dtype, c.feature_type, c.description,
+       coalesce(s.source_table, 'derived') AS source_table, c.version, TRUE AS is_active,
+       TIMESTAMP '{REGISTERED_AT}' AS created_at, TIMESTAMP '{REGISTERED_AT}' AS updated_at, '[]' AS tags
+FROM catv c LEFT JOIN srcv s ON c.source = s.source""",
+)
+def q_feature_registry(spark, sf_dir):
+    """Feature definitions (L1): ids, mapped source tables, active flag."""
+    cat, fill = _catalogue(spark, sf_dir)
+    present = cat.join(fill.select("table_name", "feature_name"), ["table_name", "feature_name"], "left_semi")
+    defs = ST.feature_definitions(present, REGISTERED_AT)
+    return defs.withColumns(
+        {"created_at": F.col("created_at").cast("timestamp_ntz"), "updated_at": F.col("updated_at").cast("timestamp_ntz")}
+    )
+
+
+@register("profile_document")
+def q_profile_document(spark, sf_dir):
+    """The column profile of all sources as one JSON document row (S17)."""
+    from mercato.plans.q_quality import source_frames
+    from mercato.plans.quality import profile_all
+    from mercato.plans.rulesets import SPECS
+    from mercato.sources.sinks import json_document
+
+    return json_document(profile_all(source_frames(spark, sf_dir), SPECS), "validation_json", REGISTERED_AT)
