@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from mercato.plans import features as feat
 from mercato.plans.oracle_views import with_views
 from mercato.plans.registry import R, finish, register
@@ -43,9 +45,7 @@ def user_item_features_df(spark, sf_dir):
     return feat.user_item_features(T.clickstream(spark, sf_dir), T.purchases(spark, sf_dir), roles=ROLES)
 
 
-_USER_SQL = with_views(
-    ["clicks", "purch", "cat"],
-    f"""
+_USER_BODY = f"""
 ca AS (
   SELECT user_id, count(*) AS user_total_events,
          count(DISTINCT item_id) AS user_distinct_items,
@@ -106,8 +106,8 @@ SELECT user_id, user_total_events, user_distinct_items, user_purchase_count,
        user_preferred_category,
        CAST(dense_rank() OVER (ORDER BY user_preferred_category NULLS FIRST) - 1 AS INTEGER) AS user_preferred_category_enc,
        user_view_count, user_click_count, user_cart_count
-FROM k""",
-)
+FROM k"""
+_USER_SQL = with_views(["clicks", "purch", "cat"], _USER_BODY)
 
 
 def _minmax_sql(c: str, out: str, frame: str = "") -> str:
@@ -118,9 +118,7 @@ def _minmax_sql(c: str, out: str, frame: str = "") -> str:
     )
 
 
-_ITEM_SQL = with_views(
-    ["clicks", "purch", "cat", "sig"],
-    f"""
+_ITEM_BODY = f"""
 ica AS (
   SELECT item_id, count(*) AS item_total_interactions, count(DISTINCT user_id) AS item_unique_users,
          CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS item_view_count,
@@ -164,12 +162,10 @@ SELECT item_id, item_total_interactions, item_unique_users, item_purchase_count,
        {R("trend_score")}, {_minmax_sql("trend_score", "item_trend_score_norm")},
        {R("coalesce(return_rate, 0.0)", "item_return_rate")},
        is_active
-FROM j""",
-)
+FROM j"""
+_ITEM_SQL = with_views(["clicks", "purch", "cat", "sig"], _ITEM_BODY)
 
-_USER_ITEM_SQL = with_views(
-    ["clicks", "purch"],
-    f"""
+_USER_ITEM_BODY = f"""
 ui AS (
   SELECT user_id, item_id, count(*) AS ui_total_interactions,
          CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS ui_views,
@@ -185,8 +181,8 @@ s AS (
 SELECT user_id, item_id, ui_total_interactions, ui_views, ui_clicks, ui_carts, ui_purchases_events,
        ui_interaction_score, {_minmax_sql("ui_interaction_score", "ui_interaction_score_norm")},
        ui_has_purchased
-FROM s""",
-)
+FROM s"""
+_USER_ITEM_SQL = with_views(["clicks", "purch"], _USER_ITEM_BODY)
 
 
 @register("user_features", _USER_SQL)
@@ -202,3 +198,50 @@ def q_item_features(spark, sf_dir):
 @register("user_item_features", _USER_ITEM_SQL)
 def q_user_item_features(spark, sf_dir):
     return finish(user_item_features_df(spark, sf_dir))
+
+
+# ---- silver variants: cleaning feeds the feature builders --------------------------------
+
+_SILVER_NAMES = {"clicks": "clickstream", "purch": "purchases", "cat": "catalog", "sig": "signals"}
+
+
+def _silver_sql(body: str, views: list[str]) -> str:
+    from mercato.plans import quality_sql as S
+    from mercato.plans.rulesets import SPECS, SQL_VIEW
+
+    ctes = [S.clean_ctes(SPECS[_SILVER_NAMES[v]], SQL_VIEW[_SILVER_NAMES[v]], f"{v}_c") for v in views]
+    for v in views:
+        body = re.sub(rf"\b{v}\b", f"{v}_c", body)
+    return with_views(["clicks", "purch", "purch_age", "cat", "sig"], ",\n".join(ctes) + ",\n" + body)
+
+
+def _silver_inputs(spark, sf_dir):
+    from mercato.operators.clean import clean
+    from mercato.plans.rulesets import SPECS
+
+    return (
+        clean(T.clickstream(spark, sf_dir), SPECS["clickstream"]),
+        clean(T.purchases(spark, sf_dir, with_age_group=True), SPECS["purchases"]),
+        clean(T.catalog(spark, sf_dir), SPECS["catalog"]),
+        clean(T.signals(spark, sf_dir), SPECS["signals"]),
+    )
+
+
+@register("user_features_silver", _silver_sql(_USER_BODY, ["clicks", "purch", "cat"]))
+def q_user_features_silver(spark, sf_dir):
+    clicks, purch, cat, _ = _silver_inputs(spark, sf_dir)
+    return finish(
+        feat.user_features(clicks, purch, cat, REFERENCE_DATE, device_col="event_type", time_col="ts", roles=ROLES)
+    )
+
+
+@register("item_features_silver", _silver_sql(_ITEM_BODY, ["clicks", "purch", "cat", "sig"]))
+def q_item_features_silver(spark, sf_dir):
+    clicks, purch, cat, sig = _silver_inputs(spark, sf_dir)
+    return finish(feat.item_features(clicks, purch, cat, sig, roles=ROLES))
+
+
+@register("user_item_features_silver", _silver_sql(_USER_ITEM_BODY, ["clicks", "purch"]))
+def q_user_item_features_silver(spark, sf_dir):
+    clicks, purch, _, _ = _silver_inputs(spark, sf_dir)
+    return finish(feat.user_item_features(clicks, purch, roles=ROLES))
