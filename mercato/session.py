@@ -35,6 +35,14 @@ def get_session(master: str | None = None, app: str = "mercato", **conf: str) ->
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
@@ -42,24 +50,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is used as is. Only when it is unset (local tests) a fresh scratch
     folder is created for this process.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    try:
+        spark.conf.set("spark.checkpoint.dir", configured)
+    except Exception:  # noqa: BLE001 - static under some deployments; already set then
+        pass
+    return configured
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables a query writes on its own (lineage cuts,
     landing fixtures). It lives next to the checkpoint directory so that it
     is shared storage on a cluster."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
 
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/mercato-{name}-{uuid.uuid4().hex[:12]}"
