@@ -130,6 +130,38 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Money is summed exactly (decimal) and turned back into double at the end,
+# so totals do not depend on how rows are spread over partitions.
+MONEY = "decimal(38,9)"
+
+
+def click_pairs(
+    clicks: DataFrame, roles: Mapping[str, str] = DEFAULT_ROLES, time_col: str = "timestamp"
+) -> DataFrame:
+    """Clicks combined per (user, item): events, events per role, first and
+    last event time. The one shuffle of the click stream that the user,
+    item and user x item features all derive from."""
+    t = _ts(clicks, time_col)
+    return clicks.groupBy("user_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[count_when(F.col("event_type") == roles[r]).alias(f"n_{r}") for r in ("view", "click", "cart", "purchase")],
+        F.min(t).alias("first_ts"),
+        F.max(t).alias("last_ts"),
+    )
+
+
+def purchase_pairs(purchases: DataFrame, purchase_time_col: str = "purchase_date") -> DataFrame:
+    """Purchases combined per (user, item): lines, exact spend, largest
+    line, quantity and last purchase time (the one shuffle of purchases)."""
+    return purchases.groupBy("user_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("total_price").cast(MONEY)).alias("spend"),
+        F.max("total_price").alias("max_spend"),
+        F.sum("quantity").alias("qty"),
+        F.max(_ts(purchases, purchase_time_col)).alias("last_ts"),
+    )
+
+
 def user_features(
     clicks: DataFrame,
     purchases: DataFrame,
@@ -141,38 +173,41 @@ def user_features(
     purchase_time_col: str = "purchase_date",
     roles: Mapping[str, str] = DEFAULT_ROLES,
     checkpoint: bool = True,
+    clicks_ui: DataFrame | None = None,
+    purchases_ui: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per user seen in ``clicks`` (22 columns)."""
+    """One row per user seen in ``clicks`` (22 columns). ``clicks_ui`` /
+    ``purchases_ui`` let a caller share the (user, item) pre-aggregates."""
     ref = F.lit(str(reference_date)).cast("date")
-    click_agg = clicks.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("user_total_events"),
-        F.countDistinct("item_id").alias("user_distinct_items"),
-        F.max(_ts(clicks, time_col)).alias("user_last_event"),
-        F.min(_ts(clicks, time_col)).alias("user_first_event"),
-        F.mode(F.col(device_col), True).alias("user_preferred_device"),
-        *_role_counts(
-            "event_type",
-            roles,
-            {"view": "user_view_count", "click": "user_click_count", "cart": "user_cart_count"},
-        ),
+    cu = clicks_ui if clicks_ui is not None else click_pairs(clicks, roles, time_col)
+    pu = purchases_ui if purchases_ui is not None else purchase_pairs(purchases, purchase_time_col)
+    click_agg = cu.groupBy("user_id").agg(
+        F.sum("n").alias("user_total_events"),
+        F.count("item_id").alias("user_distinct_items"),
+        F.max("last_ts").alias("user_last_event"),
+        F.min("first_ts").alias("user_first_event"),
+        F.sum("n_view").alias("user_view_count"),
+        F.sum("n_click").alias("user_click_count"),
+        F.sum("n_cart").alias("user_cart_count"),
     )
-    txn_agg = purchases.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("user_purchase_count"),
-        F.sum("total_price").alias("user_total_spend"),
-        F.avg("total_price").alias("user_avg_spend"),
-        F.max("total_price").alias("user_max_spend"),
-        F.sum("quantity").alias("user_total_quantity"),
-        F.countDistinct("item_id").alias("user_distinct_purchased_items"),
-        F.max(_ts(purchases, purchase_time_col)).alias("user_last_purchase"),
+    device_mode = weighted_mode(clicks, "user_id", device_col, None, "user_preferred_device")
+    spend = F.sum("spend")
+    txn_agg = pu.groupBy("user_id").agg(
+        F.sum("n").alias("user_purchase_count"),
+        spend.cast("double").alias("user_total_spend"),
+        (spend.cast("double") / F.sum("n")).alias("user_avg_spend"),
+        F.max("max_spend").alias("user_max_spend"),
+        F.sum("qty").alias("user_total_quantity"),
+        F.count("item_id").alias("user_distinct_purchased_items"),
+        F.max("last_ts").alias("user_last_purchase"),
     )
-    # Preferred category: purchases are combined per (user, item) before the
-    # catalogue join, so the join sees distinct pairs rather than lines.
-    pairs = purchases.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("_n"))
-    with_cat = pairs.join(catalog.select("item_id", "category"), "item_id", "left")
-    cat_mode = weighted_mode(with_cat, "user_id", "category", "_n", "user_preferred_category")
+    # Preferred category: the catalogue join sees (user, item) pairs, not lines.
+    with_cat = pu.select("user_id", "item_id", "n").join(catalog.select("item_id", "category"), "item_id", "left")
+    cat_mode = weighted_mode(with_cat, "user_id", "category", "n", "user_preferred_category")
 
     uf = (
-        click_agg.join(txn_agg, "user_id", "left")
+        click_agg.join(device_mode, "user_id", "left")
+        .join(txn_agg, "user_id", "left")
         .join(cat_mode, "user_id", "left")
         .fillna(
             {
@@ -218,23 +253,27 @@ def item_features(
     *,
     roles: Mapping[str, str] = DEFAULT_ROLES,
     checkpoint: bool = True,
+    time_col: str = "timestamp",
+    clicks_ui: DataFrame | None = None,
+    purchases_ui: DataFrame | None = None,
 ) -> DataFrame:
     """One row per catalogue item (30 columns)."""
-    click_agg = clicks.groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("item_total_interactions"),
-        F.countDistinct("user_id").alias("item_unique_users"),
-        *_role_counts(
-            "event_type",
-            roles,
-            {"view": "item_view_count", "click": "item_click_count", "cart": "item_cart_count"},
-        ),
+    cu = clicks_ui if clicks_ui is not None else click_pairs(clicks, roles, time_col)
+    pu = purchases_ui if purchases_ui is not None else purchase_pairs(purchases)
+    click_agg = cu.groupBy("item_id").agg(
+        F.sum("n").alias("item_total_interactions"),
+        F.count("user_id").alias("item_unique_users"),
+        F.sum("n_view").alias("item_view_count"),
+        F.sum("n_click").alias("item_click_count"),
+        F.sum("n_cart").alias("item_cart_count"),
     )
-    txn_agg = purchases.groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("item_purchase_count"),
-        F.sum("quantity").alias("item_total_quantity_sold"),
-        F.sum("total_price").alias("item_total_revenue"),
-        F.avg("total_price").alias("item_avg_order_value"),
-        F.countDistinct("user_id").alias("item_unique_buyers"),
+    spend = F.sum("spend")
+    txn_agg = pu.groupBy("item_id").agg(
+        F.sum("n").alias("item_purchase_count"),
+        F.sum("qty").alias("item_total_quantity_sold"),
+        spend.cast("double").alias("item_total_revenue"),
+        (spend.cast("double") / F.sum("n")).alias("item_avg_order_value"),
+        F.count("user_id").alias("item_unique_buyers"),
     )
     base = catalog.select(
         "item_id", "category", "brand", "price", "stock", "rating", "review_count", "is_active"
@@ -297,22 +336,23 @@ def user_item_features(
     purchases: DataFrame,
     *,
     roles: Mapping[str, str] = DEFAULT_ROLES,
+    time_col: str = "timestamp",
+    clicks_ui: DataFrame | None = None,
+    purchases_ui: DataFrame | None = None,
 ) -> DataFrame:
     """One row per clicked (user, item) pair; label ``ui_has_purchased``."""
-    ui = clicks.groupBy("user_id", "item_id").agg(
-        F.count(F.lit(1)).alias("ui_total_interactions"),
-        *_role_counts(
-            "event_type",
-            roles,
-            {
-                "view": "ui_views",
-                "click": "ui_clicks",
-                "cart": "ui_carts",
-                "purchase": "ui_purchases_events",
-            },
-        ),
+    cu = clicks_ui if clicks_ui is not None else click_pairs(clicks, roles, time_col)
+    pu = purchases_ui if purchases_ui is not None else purchases.select("user_id", "item_id").distinct()
+    ui = cu.select(
+        "user_id",
+        "item_id",
+        F.col("n").alias("ui_total_interactions"),
+        F.col("n_view").alias("ui_views"),
+        F.col("n_click").alias("ui_clicks"),
+        F.col("n_cart").alias("ui_carts"),
+        F.col("n_purchase").alias("ui_purchases_events"),
     )
-    bought = purchases.select("user_id", "item_id").distinct().withColumn("ui_has_purchased", F.lit(1))
+    bought = pu.select("user_id", "item_id").withColumn("ui_has_purchased", F.lit(1))
     uif = (
         ui.join(bought, ["user_id", "item_id"], "left")
         .fillna({"ui_has_purchased": 0})

@@ -56,18 +56,28 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str, as_of: str | None =
         "referential_integrity",
     )
     roles = T.EVENT_ROLES
+    # One shuffle per source: the (user, item) pre-aggregates feed all three
+    # feature tables.
+    cu = _write(FT.click_pairs(silver["clickstream"], roles, "ts"), warehouse, "features", "click_pairs")
+    pu = _write(FT.purchase_pairs(silver["purchases"]), warehouse, "features", "purchase_pairs")
+    shared = {"clicks_ui": cu, "purchases_ui": pu}
     uf = _write(
         FT.user_features(
             silver["clickstream"], silver["purchases"], silver["catalog"], REFERENCE_DATE,
-            device_col="event_type", time_col="ts", roles=roles,
+            device_col="event_type", time_col="ts", roles=roles, **shared,
         ),
         warehouse, "features", "user_features",
     )
     itf = _write(
-        FT.item_features(silver["clickstream"], silver["purchases"], silver["catalog"], silver["signals"], roles=roles),
+        FT.item_features(
+            silver["clickstream"], silver["purchases"], silver["catalog"], silver["signals"], roles=roles, **shared
+        ),
         warehouse, "features", "item_features",
     )
-    uif = _write(FT.user_item_features(silver["clickstream"], silver["purchases"], roles=roles), warehouse, "features", "user_item_features")
+    uif = _write(
+        FT.user_item_features(silver["clickstream"], silver["purchases"], roles=roles, **shared),
+        warehouse, "features", "user_item_features",
+    )
     pairs = _write(co_purchase_pairs(silver["purchases"], order=False), warehouse, "features", "co_purchase_pairs")
     out.update(user_features=uf, item_features=itf, user_item_features=uif, co_purchase_pairs=pairs)
     out["training_dataset"] = _write(ST.training_dataset(uif, uf, itf), warehouse, "store", "training_dataset")

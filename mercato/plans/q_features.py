@@ -38,11 +38,11 @@ def user_features_df(spark, sf_dir):
 
 def item_features_df(spark, sf_dir):
     clicks, purch, cat = _inputs(spark, sf_dir)
-    return feat.item_features(clicks, purch, cat, T.signals(spark, sf_dir), roles=ROLES)
+    return feat.item_features(clicks, purch, cat, T.signals(spark, sf_dir), roles=ROLES, time_col="ts")
 
 
 def user_item_features_df(spark, sf_dir):
-    return feat.user_item_features(T.clickstream(spark, sf_dir), T.purchases(spark, sf_dir), roles=ROLES)
+    return feat.user_item_features(T.clickstream(spark, sf_dir), T.purchases(spark, sf_dir), roles=ROLES, time_col="ts")
 
 
 _USER_BODY = f"""
@@ -62,7 +62,8 @@ dm AS (
   WHERE rn = 1),
 ta AS (
   SELECT user_id, count(*) AS user_purchase_count,
-         sum(total_price) AS user_total_spend, avg(total_price) AS user_avg_spend,
+         CAST(sum(CAST(total_price AS DECIMAL(38,9))) AS DOUBLE) AS user_total_spend,
+         CAST(sum(CAST(total_price AS DECIMAL(38,9))) AS DOUBLE) / count(*) AS user_avg_spend,
          max(total_price) AS user_max_spend,
          CAST(sum(quantity) AS BIGINT) AS user_total_quantity,
          count(DISTINCT item_id) AS user_distinct_purchased_items,
@@ -128,7 +129,8 @@ ica AS (
 ita AS (
   SELECT item_id, count(*) AS item_purchase_count,
          CAST(sum(quantity) AS BIGINT) AS item_total_quantity_sold,
-         sum(total_price) AS item_total_revenue, avg(total_price) AS item_avg_order_value,
+         CAST(sum(CAST(total_price AS DECIMAL(38,9))) AS DOUBLE) AS item_total_revenue,
+         CAST(sum(CAST(total_price AS DECIMAL(38,9))) AS DOUBLE) / count(*) AS item_avg_order_value,
          count(DISTINCT user_id) AS item_unique_buyers
   FROM purch GROUP BY item_id),
 j AS (
@@ -238,10 +240,10 @@ def q_user_features_silver(spark, sf_dir):
 @register("item_features_silver", _silver_sql(_ITEM_BODY, ["clicks", "purch", "cat", "sig"]))
 def q_item_features_silver(spark, sf_dir):
     clicks, purch, cat, sig = _silver_inputs(spark, sf_dir)
-    return finish(feat.item_features(clicks, purch, cat, sig, roles=ROLES))
+    return finish(feat.item_features(clicks, purch, cat, sig, roles=ROLES, time_col="ts"))
 
 
 @register("user_item_features_silver", _silver_sql(_USER_ITEM_BODY, ["clicks", "purch"]))
 def q_user_item_features_silver(spark, sf_dir):
     clicks, purch, _, _ = _silver_inputs(spark, sf_dir)
-    return finish(feat.user_item_features(clicks, purch, roles=ROLES))
+    return finish(feat.user_item_features(clicks, purch, roles=ROLES, time_col="ts"))

@@ -25,10 +25,25 @@ LOOKUP_AT = "2024-02-01 00:30:00"
 
 
 def _tables(spark, sf_dir):
+    """The three feature tables from one shared, checkpointed pair of
+    (user, item) pre-aggregates: each source is shuffled once."""
+    from mercato.plans import features as FT
+    from mercato.plans.q_features import REFERENCE_DATE, ROLES
+    from mercato.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    clicks, purch, cat = T.clickstream(spark, sf_dir), T.purchases(spark, sf_dir), T.catalog(spark, sf_dir)
+    shared = {
+        "clicks_ui": FT.click_pairs(clicks, ROLES, "ts").checkpoint(eager=True),
+        "purchases_ui": FT.purchase_pairs(purch).checkpoint(eager=True),
+    }
+    uf = FT.user_features(clicks, purch, cat, REFERENCE_DATE, device_col="event_type", time_col="ts", roles=ROLES, **shared)
+    itf = FT.item_features(clicks, purch, cat, T.signals(spark, sf_dir), roles=ROLES, **shared)
+    uif = FT.user_item_features(clicks, purch, roles=ROLES, **shared)
     return {
-        "user_features": (user_features_df(spark, sf_dir), "user", "user_id"),
-        "item_features": (item_features_df(spark, sf_dir), "item", "item_id"),
-        "user_item_features": (user_item_features_df(spark, sf_dir), "user_item", "user_id"),
+        "user_features": (uf, "user", "user_id"),
+        "item_features": (itf, "item", "item_id"),
+        "user_item_features": (uif, "user_item", "user_id"),
     }
 
 
