@@ -40,14 +40,15 @@ def write_landing_json_envelope(
 ) -> str:
     """Write ``df`` as API-style envelopes ``{status, timestamp, count,
     data: [...]}``, one JSON document per line. Rows are spread over
-    ``ceil(rows / rows_per_envelope)`` envelopes by a hash of ``key``, so no
-    envelope (and no task) has to hold the whole table."""
+    ``ceil(rows / rows_per_envelope)`` envelopes by their position (not by
+    ``key``, which may be skewed or repeated), so every envelope holds about
+    ``rows_per_envelope`` rows and no task has to hold a large group."""
     n = df.count()
     buckets = max(1, -(-n // rows_per_envelope))
     path = f"{base.rstrip('/')}/{version_name(prefix, ts, 'json')}"
     rec = F.struct(*[F.col(c) for c in df.columns])
     env = (
-        df.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
+        df.withColumn("_bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)))
         .groupBy("_bucket")
         .agg(F.collect_list(rec).alias(data_field))
         .select(
