@@ -497,6 +497,12 @@ def feature_definitions(catalogue: DataFrame, at: str) -> DataFrame:
     )
 
 
+def list_features(registry: DataFrame, group: str | None = None) -> DataFrame:
+    """Active registered features, optionally of one group."""
+    out = registry.where(F.col("is_active"))
+    return out.where(F.col("feature_group") == group) if group else out
+
+
 def register_features(existing: DataFrame | None, new: DataFrame) -> DataFrame:
     """INSERT OR REPLACE by feature_id."""
     return new if existing is None else upsert(existing, new, ["feature_id"])

@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def append_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def append_path(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()
+) -> None:
     """Append files to a parquet table folder; new columns are allowed and
-    show up through ``read_evolving``."""
-    w = df.write.mode("append")
+    show up through ``read_evolving``. ``sort_within`` sorts each output
+    file (better min/max pruning on that column) without a global sort."""
+    w = (df.sortWithinPartitions(*sort_within) if sort_within else df).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -76,9 +79,12 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Distributed CSV export with a header (one file per partition)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, sort_within: Sequence[str] = ()) -> None:
+    """Distributed CSV export with a header (one file per partition);
+    ``sort_within`` orders rows inside each file (e.g. by time) without a
+    global sort."""
+    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def load_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
