@@ -135,3 +135,25 @@ def q_run_log_latest(spark, sf_dir):
     return S.recent_runs(spark.read.parquet(log_path)).select(
         "run_id", "job_type", "status", "records_processed", "tables_updated", "error_type"
     )
+
+
+@register(
+    "stream_dedupe",
+    with_views(
+        ["clicks"],
+        f"SELECT event_id, user_id, item_id, event_type, ts, {R('value')} FROM clicks",
+    ),
+)
+def q_stream_dedupe(spark, sf_dir):
+    """Every event is delivered twice (two drops of the same files); the
+    watermarked dedupe on ``event_id`` lets one copy through."""
+    base = scratch_dir(spark, "stream")
+    src, table, ckpt = f"{base}/landing", f"{base}/bronze", f"{base}/_checkpoint"
+    clicks = T.clickstream(spark, sf_dir)
+    S.drop_files(clicks, src, FILES, "event_id")
+    S.drop_files(clicks, src, FILES, "event_id")
+    stream = S.dedupe_within_watermark(
+        S.file_stream(spark, src, CLICK_SCHEMA, FILES_PER_TRIGGER), ["event_id"], "ts", "400 days"
+    )
+    S.ingest_available(stream, table, ckpt)
+    return finish(spark.read.parquet(table).select(*CLICK_SCHEMA.fieldNames()))
