@@ -105,11 +105,15 @@ def exact_quantile_exprs(
     q: float,
     accuracy: int = 10_000,
     candidate_limit: int = DEFAULT_DISTINCT_LIMIT,
+    collect_all_limit: int = 1_000_000,
 ) -> dict[str, tuple[Column, bool]]:
     """Exact ``percentile_disc(q)`` for several columns without a
     value->count map of the whole column.
 
-    1. One pass: non-NULL count n and ``percentile_approx`` at q -/+ 3/accuracy;
+    0. One pass: the non-NULL count n of each column. A column with at most
+       ``collect_all_limit`` values is answered inside the caller's
+       aggregate from its sorted values (bounded by that check).
+    1. Larger columns, one pass: ``percentile_approx`` at q -/+ 3/accuracy;
        its rank error is at most n/accuracy, so the exact answer lies
        between the two returned values.
     2. One pass: exact counts below and inside that bracket, which verify it.
@@ -119,39 +123,43 @@ def exact_quantile_exprs(
 
     Returns, per column, (expression, is_aggregate). A column whose bracket
     fails the check or is too large uses the distributed sort instead.
-    Steps 1 and 2 bring back four numbers per column.
+    Each step brings back a few numbers per column.
     """
     import math
 
     if not cols:
         return {}
-    eps = 3.0 / accuracy
-    lo_q, hi_q = max(0.0, q - eps), min(1.0, q + eps)
     x = {c: F.col(c).cast("double") for c in cols}
-    first = df.agg(
-        *[F.count(x[c]).alias(f"n_{i}") for i, c in enumerate(cols)],
-        *[F.percentile_approx(x[c], [lo_q, hi_q], accuracy).alias(f"b_{i}") for i, c in enumerate(cols)],
-    ).first()
+    counts = df.agg(*[F.count(x[c]).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
     out: dict[str, tuple[Column, bool]] = {}
-    checks = []
+    large = []
     for i, c in enumerate(cols):
-        n = first[f"n_{i}"] or 0
+        n = counts[f"n_{i}"] or 0
         if n == 0:
             out[c] = (F.lit(None).cast("double"), False)
-            continue
-        lo, hi = first[f"b_{i}"]
-        checks.append((i, c, n, lo, hi))
-    if checks:
-        second = df.agg(
-            *[F.count(F.when(x[c] < lo, 1)).alias(f"below_{i}") for i, c, n, lo, hi in checks],
-            *[F.count(F.when((x[c] >= lo) & (x[c] <= hi), 1)).alias(f"mid_{i}") for i, c, n, lo, hi in checks],
-        ).first()
-        for i, c, n, lo, hi in checks:
+        elif n <= min(collect_all_limit, candidate_limit):
             k = max(1, math.ceil(q * n))
-            below, mid = second[f"below_{i}"], second[f"mid_{i}"]
-            if below < k <= below + mid and mid <= candidate_limit:
-                cand = F.sort_array(F.collect_list(F.when((x[c] >= lo) & (x[c] <= hi), x[c])))
-                out[c] = (F.element_at(cand, k - below), True)
-            else:
-                out[c] = (_distributed_quantile(df.select(x[c].alias(c)), c, q), False)
+            out[c] = (F.element_at(F.sort_array(F.collect_list(x[c])), k), True)
+        else:
+            large.append((i, c, n))
+    if not large:
+        return out
+    eps = 3.0 / accuracy
+    lo_q, hi_q = max(0.0, q - eps), min(1.0, q + eps)
+    first = df.agg(
+        *[F.percentile_approx(x[c], [lo_q, hi_q], accuracy).alias(f"b_{i}") for i, c, n in large]
+    ).first()
+    checks = [(i, c, n, *first[f"b_{i}"]) for i, c, n in large]
+    second = df.agg(
+        *[F.count(F.when(x[c] < lo, 1)).alias(f"below_{i}") for i, c, n, lo, hi in checks],
+        *[F.count(F.when((x[c] >= lo) & (x[c] <= hi), 1)).alias(f"mid_{i}") for i, c, n, lo, hi in checks],
+    ).first()
+    for i, c, n, lo, hi in checks:
+        k = max(1, math.ceil(q * n))
+        below, mid = second[f"below_{i}"], second[f"mid_{i}"]
+        if below < k <= below + mid and mid <= candidate_limit:
+            cand = F.sort_array(F.collect_list(F.when((x[c] >= lo) & (x[c] <= hi), x[c])))
+            out[c] = (F.element_at(cand, k - below), True)
+        else:
+            out[c] = (_distributed_quantile(df.select(x[c].alias(c)), c, q), False)
     return out

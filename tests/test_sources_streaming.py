@@ -85,8 +85,9 @@ def test_bracketed_median_matches_bruteforce(spark):
     df = spark.createDataFrame([(x, float(i % 7)) for i, x in enumerate(xs)], "x double, y double")
     vals = sorted(x for x in xs if x is not None)
     ys = sorted(float(i % 7) for i in range(len(xs)))
-    for limit in (4_000_000, 0):  # 0 forces the distributed fallback
-        exprs = exact_quantile_exprs(df, ["x", "y"], 0.5, candidate_limit=limit)
+    # whole column sorted; bracketed candidates; distributed fallback
+    for all_limit, limit in ((1_000_000, 4_000_000), (0, 4_000_000), (0, 0)):
+        exprs = exact_quantile_exprs(df, ["x", "y"], 0.5, candidate_limit=limit, collect_all_limit=all_limit)
         aggs = [e.alias(c) for c, (e, is_agg) in exprs.items() if is_agg]
         row = df.agg(*aggs).first() if aggs else None
         got = {c: (row[c] if is_agg else spark.range(1).select(e.alias("v")).first().v) for c, (e, is_agg) in exprs.items()}
