@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercato.llm.bpe import bpe_digests
 from mercato.llm.common import read_table, shared_path
+from mercato.llm.fingerprints import edited_fingerprints
 from mercato.llm.packing import pack
+from mercato.llm.quality_rules import apply_rules
 from mercato.llm.secret_scan import scan_secrets
 from mercato.llm.token_counts import token_counts
 from mercato.llm.warc import page_records, read_warc, write_warc
@@ -45,6 +47,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(read_warc(spark, path))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents"), tokenizer_file(WORD_VOCAB))
 
@@ -54,7 +64,17 @@ QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_token_counts": op3_token_counts,
     "op5_warc": op5_warc,
+    "op7_fingerprints": op7_fingerprints,
+    "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        q AS (SELECT page_id, strlen(body) AS n, sha1(body) AS d, max(page_id) OVER (PARTITION BY sha1(body)) AS last FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to
+        FROM q""",
+}
