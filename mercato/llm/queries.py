@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from mercato.llm.bpe import bpe_digests
 from mercato.llm.common import read_table, shared_path
 from mercato.llm.fingerprints import edited_fingerprints
+from mercato.llm.jaccard_join import jaccard_components
+from mercato.llm.line_dedup import dedup_lines
 from mercato.llm.packing import pack
+from mercato.llm.quality_classifier import classify
 from mercato.llm.quality_rules import apply_rules
 from mercato.llm.secret_scan import scan_secrets
 from mercato.llm.token_counts import token_counts
@@ -41,16 +44,28 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     write_warc(read_table(spark, sf_dir, "pages"), path)
     return page_records(read_warc(spark, path))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -63,8 +78,11 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_line_dedup": op4_line_dedup,
     "op5_warc": op5_warc,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_fingerprints": op7_fingerprints,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
