@@ -44,7 +44,7 @@ TEXTS_AT_ONCE = 5_000_000
 NO_PAIR = 1 << 40
 
 #: Fixed: white space of Unicode (str.split takes U+001C to U+001F besides).
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_letters() -> list[str]:

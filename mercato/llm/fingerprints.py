@@ -36,7 +36,7 @@ from mercato.llm.common import WORD_BREAK, shared_path
 
 SAMPLES = 32
 #: Samples drawn from one row; SAMPLES is a multiple.
-EACH = 4
+EACH = 8
 #: Buckets of ids for each shuffle partition, and at most.
 BUCKETS_PER_PARTITION = 8
 MOST_BUCKETS = 4096
@@ -91,10 +91,19 @@ def signatures(texts: DataFrame, text_col: str, keys: list[str], samples: int =
     terms = weighted_terms(texts, text_col, keys)
     parts = F.explode(F.sequence(F.lit(0), F.lit(samples // EACH - 1))).alias("part")
     drawn = terms.select("*", parts).groupBy(*keys, "part").agg(*[F.min(sample_at(j, EACH)).alias(f"s{j}") for j in range(EACH)])
-    digits = [F.lpad(F.lower(F.hex(F.col(f"s{j}").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0") for j in range(EACH)]
-    some = drawn.select(*keys, F.struct("part", F.when(F.col("s0").isNull(), F.lit("")).otherwise(F.concat(*digits)).alias("d")).alias("x"))
-    one = some.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("x"))
-    return one.select(*keys, F.concat_ws("", F.col("x.d")).alias("fingerprint"))
+    one = drawn.groupBy(*keys).agg(F.collect_list(F.struct("part", _digits())).alias("x"))
+    return one.select(*keys, _joined().alias("fingerprint"))
+
+
+def _digits() -> Column:
+    """The samples of a part as bytes: four each, none without a term."""
+    each = [F.lpad(F.hex(F.col(f"s{j}").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0") for j in range(EACH)]
+    return F.when(F.col("s0").isNull(), F.lit(b"")).otherwise(F.unhex(F.concat(*each))).alias("d")
+
+
+def _joined() -> Column:
+    """The parts in order as hexadecimal digits."""
+    return F.lower(F.expr("array_join(transform(array_sort(x), p -> hex(p.d)), '')"))
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
@@ -166,11 +175,17 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES, buckets: int |
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     both = pairs.select("doc_id", "text_hash", "next_id", "next_hash", "text", n.cast("long").alias("n_chars"), F.concat(F.left("text", n - half), F.left("next_text", half)).alias("edited"))
-    keys = ["row", "doc_id", "text_hash", "next_id", "next_hash", "n_chars", "edited_sha"]
+    about = ["doc_id", "text_hash", "next_id", "next_hash", "n_chars", "edited_sha"]
     both = both.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash", "next_id", "next_hash", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_sha"), "text", "edited")
-    texts = both.select(*keys, F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))).alias("x")).select(*keys, F.col("x.which").alias("which"), F.col("x.t").alias("t"))
-    signed = signatures(texts, "t", [*keys, "which"], samples)
-    one = signed.groupBy(*keys).agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
+    texts = F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))
+    terms = weighted_terms(both.select("row", *about, F.explode(texts).alias("x")).select("row", *about, F.col("x.which").alias("which"), F.col("x.t").alias("t")), "t", ["row", *about, "which"])
+    rows_of_parts = terms.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples // EACH - 1))).alias("part"))
+    # what is known about a document travels with one of its groups only
+    told = [F.when((F.col("which") == 0) & (F.col("part") == 0), F.col(c)).alias(c) for c in about]
+    drawn = rows_of_parts.select("row", "which", "part", *told, "term", "ln_s").groupBy("row", "which", "part", *about).agg(*[F.min(sample_at(j, EACH)).alias(f"s{j}") for j in range(EACH)])
+    one = drawn.groupBy("row").agg(F.collect_list(F.struct("which", "part", _digits(), *about)).alias("all"))
+    one = one.select(F.expr("array_sort(all)").alias("all"))
+    one = one.select(*[F.col("all")[0][c].alias(c) for c in about], *[F.expr(f"lower(array_join(transform(filter(all, p -> p.which = {i}), p -> hex(p.d)), ''))").alias(n) for i, n in ((0, "fingerprint"), (1, "edited_fingerprint"))])
     path = shared_path(spark, "fingerprints")
     one.withColumns({"fingerprint": F.unhex("fingerprint"), "edited_fingerprint": F.unhex("edited_fingerprint")}).write.parquet(path)
     kept = spark.read.parquet(path).withColumns({"fingerprint": F.lower(F.hex("fingerprint")), "edited_fingerprint": F.lower(F.hex("edited_fingerprint"))})

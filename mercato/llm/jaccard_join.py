@@ -13,7 +13,8 @@ join runs over classes, so copies cost one row each.
   in one global order (a set that shares none of them with another cannot reach
   the threshold). The order puts shingles of long lists last, so a passage that
   many documents share is no candidate maker. Candidates pass a size and a
-  position filter and are checked on their whole sets.
+  position filter and one by histograms of the hashes (bounds that lose no
+  link) and are checked on their whole sets.
 
 The boundary between light and heavy is chosen by cost from the counts of sizes.
 Sets near the boundary do both, so that light and heavy partners meet.
@@ -205,7 +206,16 @@ def _first_shingles(docs: DataFrame, late: Bloom, light: int) -> DataFrame:
 #: Bits dropped of a shingle for the filter of shared shingles.
 SHORT = 22
 
-FOUND = "kind int, token long, id long, n int, pos int, shingles array<long>"
+FOUND = "kind int, token long, id long, n int, pos int, shingles array<long>, histogram binary"
+
+#: Shingles of a set by the highest byte of their hashes. The sum of the smaller
+#: counts of two sets bounds their overlap from above; sets of more shingles than
+#: this have no histogram (a count might pass a byte) and go to the whole check.
+MOST_HISTOGRAM = 40_000
+
+
+def histogram(s: np.ndarray) -> bytes | None:
+    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes() if len(s) <= MOST_HISTOGRAM else None
 
 
 def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFrame:
@@ -218,7 +228,7 @@ def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 seen: set[int] = set()
-                kind, token, ids, size, pos, sets = [], [], [], [], [], []
+                kind, token, ids, size, pos, sets, hists = [], [], [], [], [], [], []
                 held = 0
 
                 def rows(k: int, t: list[int], i: int, n: int, p: list[int]) -> None:
@@ -228,6 +238,7 @@ def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
                     size.extend([n] * len(t))
                     pos.extend(p)
                     sets.extend([None] * len(t))
+                    hists.extend([None] * len(t))
 
                 for value in b.column(1).slice(lo, 1000):
                     s = shingle_set(value.as_py())
@@ -245,19 +256,19 @@ def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
                         if len(may):
                             rows(0, first[may].view(np.int64).tolist(), own, n, may.tolist())
                             rows(2, [0], own, n, [0])
-                            sets[-1] = s.view(np.int64)
+                            sets[-1], hists[-1] = s.view(np.int64), histogram(s)
                             held += n
                     if held > 2_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, sets), FOUND_KINDS)], names=names)
-                        kind, token, ids, size, pos, sets = [], [], [], [], [], []
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, sets, hists), FOUND_KINDS)], names=names)
+                        kind, token, ids, size, pos, sets, hists = [], [], [], [], [], [], []
                         held = 0
                 if kind:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, sets), FOUND_KINDS)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, sets, hists), FOUND_KINDS)], names=names)
 
     return id_and_text(docs).mapInArrow(run, FOUND)
 
 
-FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
 
 
 # -- boundary ----------------------------------------------------------------
@@ -321,7 +332,12 @@ def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFram
     postings = found.where("kind = 0").groupBy("token", "id").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
     sets = found.where("kind = 2").select("id", "n", "shingles")
 
+    hists = found.where("kind = 2").groupBy("id").agg(F.min("n").alias("n"), F.min("histogram").alias("h"))
+
     def verify(pairs: DataFrame) -> DataFrame:
+        a = hists.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"))
+        b = hists.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("h").alias("hb"))
+        pairs = materialize(pairs.join(a, "a").join(b, "b").mapInArrow(_may_overlap, "a long, b long"))
         used = pairs.select(F.explode(F.array("a", "b")).alias("used")).distinct()
         own = materialize(sets.join(used, F.col("id") == F.col("used"), "left_semi").groupBy("id").agg(F.first("shingles").alias("s")))
         a = own.select(F.col("id").alias("a"), F.col("s").alias("sa"))
@@ -338,6 +354,16 @@ def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFram
     return rows, named.join(least, F.col("c") == F.col("of")).select("set_id", "component")
 
 
+def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (a, b, na, ha, nb, hb) the pairs whose histograms allow the overlap."""
+    for batch in batches:
+        col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        ha, hb = col["ha"].to_pylist(), col["hb"].to_pylist()
+        n = col["na"].to_numpy() + col["nb"].to_numpy()
+        keep = np.array([x is None or y is None or (NUM + DEN) * int(np.minimum(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).sum()) >= NUM * int(k) for x, y, k in zip(ha, hb, n)], dtype=bool)
+        yield pa.RecordBatch.from_arrays([col["a"].filter(pa.array(keep)), col["b"].filter(pa.array(keep))], names=["a", "b"])
+
+
 def _similar(a, b):
     common = F.size(F.array_intersect(a, b))
     return DEN * common >= NUM * (F.size(a) + F.size(b) - common)

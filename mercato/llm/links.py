@@ -2,12 +2,14 @@
 
 ``postings`` has (token, id, ...): two ids are candidates if they share a token
 and ``pair_filter`` allows it; ``verify`` keeps the candidates that are links.
-A list may be of any length (a third of all ids may share a token), so:
+Lists of up to ``LONG_LIST`` ids are compared within. A list may be of any length
+(a third of all ids may share a token), so of the longer ones:
 
 1. every id of a list is compared with one centre of the list only;
 2. links found so far make components; a list whose ids lie in one component
    needs no more pairs (they are connected already), and one row per (token,
-   component) stands for all of them;
+   component) stands for all of them; in two rounds these rows are compared with
+   one of the list's largest component, another one in each list;
 3. only lists with several components go on: their components are paired, and
    the ids of different components are compared, whatever their number.
 
@@ -23,6 +25,11 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import materialize
 
+#: A list of up to this many ids is compared at once.
+LONG_LIST = 48
+#: Rounds in which components are compared by one member of each.
+ROUNDS = 2
+
 Verify = Callable[[DataFrame], DataFrame]
 
 
@@ -56,36 +63,55 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
     postings of a token, true for at least one order of a pair that may be a
     link; ``first`` is an SQL condition that picks the postings for the centres;
     ``known`` are links found before."""
-    postings = materialize(postings)
-    none = postings.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
+    every = materialize(postings)
+    none = every.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
     found = known if known is not None else none
+    long = materialize(every.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST).select("token"))
+    has_long = long.limit(1).count() > 0
+    short = every.join(long, "token", "left_anti") if has_long else every
+    postings = materialize(every.join(long, "token", "left_semi")) if has_long else every
 
     def candidates(x: DataFrame, y: DataFrame, on: Column) -> DataFrame:
         both = pair_filter("x", "y") | pair_filter("y", "x")
         pair = x.join(y, on & (F.col("x_id") != F.col("y_id")) & both)
         return pair.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
-    # one centre per list: of equal ids the same in all lists, by a hash
-    order = F.struct(F.xxhash64("id").alias("h"), *[c for c in postings.columns if c != "token"])
-    centres = postings.where(first).groupBy("token").agg(F.min(order).alias("c"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
-    centres = centres.select("token", *[F.col(f"c.{c}").alias(c) for c in postings.columns if c != "token"])
-    x, y = _sides(postings.where(first), "x"), _sides(centres, "y")
-    stars = materialize(verify(materialize(candidates(x, y, F.col("x_token") == F.col("y_token")))))
-    found = materialize(found.select("a", "b").unionByName(stars.select("a", "b")))
-
-    labels = components(found)
-    placed = postings.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = materialize(placed)
-    mixed = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
-    several = mixed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    groups = materialize(mixed.join(several, "token", "left_semi").select("token", "component"))
+    def star(members: DataFrame) -> DataFrame:
+        """Each member of a list against the list's centre: one of the largest
+        component (``weight``), the least by a hash of the id among equals."""
+        order = F.struct(-F.col("weight"), F.xxhash64("id").alias("h"), *own)
+        centres = members.groupBy("token").agg(F.min(order).alias("c"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
+        centres = centres.select("token", *[F.col(f"c.{c}").alias(c) for c in own])
+        return candidates(_sides(members, "x"), _sides(centres, "y"), F.col("x_token") == F.col("y_token"))
+
+    def several(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The postings with their components, and the (token, component) of the
+        lists that have several, each with one of its postings."""
+        placed = postings.join(components(found), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        order = F.struct(F.xxhash64("id", "token").alias("h"), *own)
+        mixed = placed.groupBy("token", "component").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("weight"))
+        lists = mixed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+        return placed, materialize(mixed.join(lists, "token", "left_semi"))
+
+    def add(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        return materialize(found.select("a", "b").unionByName(verify(materialize(pairs)).select("a", "b")))
+
+    found = add(found, candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")))
+    if not has_long:
+        return found
+    own = [c for c in postings.columns if c != "token"]
+    found = add(found, star(postings.where(first).withColumn("weight", F.lit(1))))
+    for _ in range(ROUNDS):
+        groups = several(found)[1]
+        found = add(found, star(groups.select("token", "weight", *[F.col(f"m.{c}").alias(c) for c in own])))
+    placed, groups = several(found)
+    placed, groups = materialize(placed), groups.select("token", "component")
     g, h = _sides(groups, "g"), _sides(groups, "h")
     crossing = g.join(h, (F.col("g_token") == F.col("h_token")) & (F.col("g_component") < F.col("h_component")))
     x, y = _sides(placed, "x"), _sides(placed, "y")
     left = crossing.join(x, (F.col("g_token") == F.col("x_token")) & (F.col("g_component") == F.col("x_component")))
     rest = candidates(left, y, (F.col("h_token") == F.col("y_token")) & (F.col("h_component") == F.col("y_component")))
-    more = verify(materialize(rest))
-    return materialize(found.unionByName(more.select("a", "b")))
+    return add(found, rest)
 
 
 # -- fixed-size filters ------------------------------------------------------
@@ -116,6 +142,7 @@ MOST_BITS = 26
 def bloom(keys: DataFrame, column: str) -> Bloom:
     """The filter of the 64-bit hashes in ``column``; only its words (1 MB to
     8 MB, by the number of keys) reach the driver."""
+    keys = materialize(keys.select(column))
     n = keys.count()
     bits = min(MOST_BITS, max(16, (16 * n).bit_length()))
     mask = (1 << bits) - 1

@@ -234,8 +234,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per span: (doc_id, kind, start, end)."""
     rows = scan_secrets(docs, id_col, text_col).where("spans <> ''")
-    one = F.split(F.explode(F.split("spans", ",")), ":")
-    parts = rows.select("doc_id", one.alias("s"))
+    parts = rows.select("doc_id", F.explode(F.split("spans", ",")).alias("s")).select("doc_id", F.split("s", ":").alias("s"))
     return parts.select("doc_id", F.col("s")[0].alias("kind"), F.col("s")[1].cast("long").alias("start"), F.col("s")[2].cast("long").alias("end"))
 
 

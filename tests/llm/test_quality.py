@@ -1,0 +1,138 @@
+import collections
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from mercato.llm import fingerprints as P
+from mercato.llm import quality_classifier as C
+from mercato.llm import quality_rules as R
+
+SF = "/root/testdata/sf0.001"
+W = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_figures(t):
+    t = t or ""
+    w = W.findall(t)
+    c = collections.Counter(zip(w, w[1:], w[2:]))
+    hit = [False] * len(w)
+    for i in range(len(w) - 2):
+        if c[w[i], w[i + 1], w[i + 2]] > 1:
+            hit[i : i + 3] = [True] * 3
+    lines = [x for x in t.split("\n") if W.search(x)]
+    return len(w), sum(map(len, w)), sum(t.count(x) for x in R.SYMBOLS), len(lines) - len(set(lines)), sum(hit)
+
+
+def test_figures_equal_brute_force(docs_of):
+    rnd = random.Random(1)
+    rows = [(i, "".join(rnd.choice(["a ", "b ", "é$ ", "\n", "\t", "a b a\n", "\x0b", "x|y ", " "]) for _ in range(rnd.randrange(0, 60)))) for i in range(150)]
+    rows += [(200, None), (201, ""), (202, "a " * 5000), (203, "\n\n"), (204, "a b"), (204, "a b")]
+    got = collections.Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in R.text_figures(docs_of(rows)).collect())
+    assert got == collections.Counter((i, *brute_figures(t)) for i, t in rows)
+
+
+def test_rules_are_learned_and_keep_clean_rows(spark):
+    rnd = random.Random(2)
+    rows = []
+    for i in range(600):
+        bad = i % 3 == 0
+        rows.append((i, int(bad), rnd.uniform(0.2, 0.5) if bad and i % 2 else 0.0, rnd.uniform(0.5, 0.9) if bad and not i % 2 else rnd.uniform(0, 0.1), rnd.random()))
+    df = spark.createDataFrame(rows, "doc_id long, bad int, a double, b double, noise double")
+    rules = R.learn_rules(df, ("a", "b", "noise"))
+    assert 1 <= len(rules) <= 3
+    hit = F.lit(False)
+    for r in rules:
+        hit = hit | R.all_hold(r)
+    assert df.where(hit & (F.col("bad") == 0)).count() == 0
+    assert df.where(hit).count() >= 180
+    assert R.learn_rules(df.where("bad = 0"), ("a", "b")) == []
+    assert R.learn_rules(df.where("false"), ("a", "b")) == []
+
+
+def test_rule_tables(docs_of, spark):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 0, 0), (9, None, 0)], "doc_id long, quality int, toxic int")
+    rows = [(1, "w " * 20), (2, " ".join(f"w{k}" for k in range(80))), (None, None), (2, "")]
+    got = R.apply_rules(docs_of(rows), labels).collect()
+    assert len(got) == 4
+    assert [r.kept for r in got if r.n_words == 80] == [True]
+    assert all(r.base_failed and not r.kept for r in got if r.n_words < 50)
+    assert R.apply_rules(docs_of([]), labels).count() == 0
+    assert R.apply_rules(docs_of(rows), labels.where("false")).count() == 4
+
+
+def tables(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+
+
+def test_classifier_on_held_out_labels(spark):
+    docs, labels = tables(spark)
+    known = labels.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)))
+    scored = C.classify(docs, known.where("part > 0").drop("part")).withColumnRenamed("doc_id", "id")
+    held = known.where("part = 0").join(scored, F.col("doc_id") == F.col("id")).groupBy("quality", "kept").count().collect()
+    n = {(r.quality, r.kept): r["count"] for r in held}
+    assert n.get((0, False), 0) >= 0.85 * (n.get((0, False), 0) + n.get((0, True), 0))
+    assert n.get((1, False), 0) <= 0.02 * n[1, True] + 1
+
+
+def test_sparse_sites_shrink(spark):
+    rows = [("h", "a", -3.0)] * 400 + [("h", "b", 3.0)] * 400 + [("g", "a", -3.0)] * 800 + [("s", "a", 3.0)]
+    rates = {(r.host, r.path): r.rate for r in C.site_rates(spark.createDataFrame(rows, "host string, path string, evidence double"), 0.0).collect()}
+    assert rates["g", "a"] < 0.15 and rates["h", "b"] > 0.7
+    assert rates["s", "a"] < 0.6 < 0.95  # one document says little
+    assert C.site_rates(spark.createDataFrame([], "host string, path string, evidence double"), 0.0).count() == 0
+
+
+def test_classifier_tables(docs_of, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = [(1, "a b"), (1, "a b"), (None, None), (2, "")]
+    got = C.classify(docs_of(rows), none).collect()
+    assert len(got) == 4 and all(r.kept for r in got)
+    assert C.classify(docs_of([]), none).count() == 0
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    many = docs_of([(i, "good words here" if i % 2 else "bad### junk###") for i in range(80)] + rows)
+    out = C.drop_rejected(many, labels)
+    assert out.columns == many.columns
+    assert not [r for r in out.collect() if r.text and "junk" in r.text] and out.where("text like 'good%'").count() == 40
+
+
+# -- fingerprints -----------------------------------------------------------
+def similarity(a, b):
+    x, y = collections.Counter(W.findall(a)), collections.Counter(W.findall(b))
+    return sum((x & y).values()) / max(1, sum((x | y).values()))
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_fingerprints_against_brute_force(spark, docs_of, buckets):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(rnd.choice(["a", "b", "cé", "d", "e", "f", "g"]) + str(rnd.randrange(6)) for _ in range(rnd.randrange(0, 90)))) for i in range(60)]
+    rows += [(100, rows[5][1]), (101, None), (102, ""), (-7, "x " * 3000)]
+    got = {r.doc_id: r for r in P.edited_fingerprints(docs_of(rows), buckets=buckets).collect()}
+    down = sorted(rows, key=lambda r: -r[0])
+    off = []
+    for k, (i, t) in enumerate(down):
+        t, nxt = t or "", down[(k + 1) % len(down)][1] or ""
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        r = got[i]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        off.append(r.near_edited - similarity(t, edited) if t and edited else 0.0)
+    assert got[5].fingerprint == got[100].fingerprint
+    assert got[101].fingerprint == got[102].fingerprint == ""
+    assert abs(sum(off) / len(off)) < 0.05 and max(map(abs, off)) < 0.5
+
+
+def test_equal_texts_have_equal_fingerprints(docs_of):
+    got = P.fingerprints(docs_of([(1, "a b a"), (2, "a a b"), (3, "a b"), (4, None), (None, "a b a")])).collect()
+    by = {r.doc_id: r.fingerprint for r in got}
+    assert by[1] == by[2] == by[None] != by[3] and by[4] == ""
+
+
+def test_fingerprint_tables(docs_of):
+    assert P.edited_fingerprints(docs_of([])).count() == 0
+    one = P.edited_fingerprints(docs_of([(1, "a b c")])).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0
+    rows = [(1, "a b"), (1, "a b"), (None, "c d"), (None, None), (2, "e")]
+    assert P.edited_fingerprints(docs_of(rows)).count() == 5
