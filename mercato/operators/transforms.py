@@ -123,9 +123,10 @@ def label_encode(
 
 
 def one_hot(df: DataFrame, c: str, values: Iterable[str], prefix: str | None = None) -> DataFrame:
-    """One 0/1 column per listed value, named ``{prefix}_{value}``."""
+    """One 0/1 column per listed value, named ``{prefix}_{value}``; NULL is none
+    of them and gives 0 in all."""
     p = prefix or c
-    return df.withColumns({f"{p}_{v}": (F.col(c) == F.lit(v)).cast("int") for v in values})
+    return df.withColumns({f"{p}_{v}": F.col(c).eqNullSafe(F.lit(v)).cast("int") for v in values})
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

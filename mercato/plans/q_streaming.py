@@ -7,6 +7,8 @@ a parquet bronze table. Run-log rows record each run.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
@@ -26,8 +28,18 @@ CLICK_SCHEMA = StructType(
         StructField("value", DoubleType()),
     ]
 )
-FILES = 20
+# Rows of a landed file, and files of a micro-batch.
+ROWS_PER_FILE = 500
 FILES_PER_TRIGGER = 5
+# Micro-batches of the count check: more than a query's progress keeps.
+MANY_BATCHES = 104
+
+
+def land(spark, clicks, folder: str, files: int | None = None) -> None:
+    """The click stream as CSV files, as many as its size asks for."""
+    if files is None:
+        files = max(1, clicks.count() // ROWS_PER_FILE)
+    S.drop_files(clicks, folder, min(files, 10_000), "event_id")
 
 
 def run_stream(spark, sf_dir, runs: int = 1, fail_last: bool = False):
@@ -37,24 +49,29 @@ def run_stream(spark, sf_dir, runs: int = 1, fail_last: bool = False):
     FAILED. Returns (table path, run-log path, per-run row counts)."""
     base = scratch_dir(spark, "stream")
     src, table, ckpt, log_path = f"{base}/landing", f"{base}/bronze", f"{base}/_checkpoint", f"{base}/run_log"
-    S.drop_files(T.clickstream(spark, sf_dir), src, FILES, "event_id")
-    counts = []
-    for i in range(runs):
-        log = S.RunLog(spark, log_path, "stream_ingest", "STREAMING", run_id=f"run-{i + 1:04d}").started()
-        q = S.ingest_available(S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, FILES_PER_TRIGGER)), table, ckpt)
-        n = sum(int(p["numInputRows"]) for p in q.recentProgress) if q.recentProgress else 0
-        counts.append(n)
-        log.records = n
-        log.tables.append("user_interaction_logs")
-        log.success()
+    land(spark, T.clickstream(spark, sf_dir), src)
+    counts, total = [], 0
+
+    def note(run: int, status: str, began=None, records: int = 0, tables=(), error: Exception | None = None):
+        now = datetime.datetime.now()
+        text, kind = (str(error), type(error).__name__) if error else (None, None)
+        S.append_events(spark, log_path, [(f"run-{run:04d}", "stream_ingest", "STREAMING", status, now, began, records, list(tables), text, kind)])
+        return now
+
+    for i in range(1, runs + 1):
+        began = note(i, "RUNNING")
+        S.ingest_available(S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, FILES_PER_TRIGGER)), table, ckpt)
+        before, total = total, S.table_rows(spark, table, CLICK_SCHEMA)
+        counts.append(total - before)
+        note(i, "SUCCESS", began, total - before, ["user_interaction_logs"])
     if fail_last:
-        log = S.RunLog(spark, log_path, "stream_ingest", "STREAMING", run_id=f"run-{runs + 1:04d}").started()
+        began = note(runs + 1, "RUNNING")
         try:
             S.ingest_available(
                 S.enrich(S.file_stream(spark, f"{base}/missing", CLICK_SCHEMA)), table, f"{base}/_ckpt_missing"
             )
         except Exception as e:  # noqa: BLE001 - the failure is what is logged
-            log.failure(e)
+            note(runs + 1, "FAILED", began, error=e)
     return table, log_path, counts
 
 
@@ -108,16 +125,22 @@ def q_stream_event_counts(spark, sf_dir):
     return S.event_counts(spark.read.parquet(table))
 
 
-@register("stream_progress")
+@register(
+    "stream_progress",
+    with_views(
+        ["clicks"],
+        f"SELECT CAST({MANY_BATCHES} AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS rows_over_batches, count(*) AS table_rows FROM clicks",
+    ),
+)
 def q_stream_progress(spark, sf_dir):
-    """Per micro-batch metrics of one ingestion (timings vary per run)."""
+    """Exact record counts of a run of many micro-batches (one file each)."""
     base = scratch_dir(spark, "stream")
-    src = f"{base}/landing"
-    S.drop_files(T.clickstream(spark, sf_dir), src, FILES, "event_id")
-    q = S.ingest_available(
-        S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, FILES_PER_TRIGGER)), f"{base}/bronze", f"{base}/_checkpoint"
-    )
-    return S.progress_frame(spark, q)
+    src, path = f"{base}/landing", f"{base}/bronze"
+    land(spark, T.clickstream(spark, sf_dir), src, MANY_BATCHES)
+    S.ingest_available(S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, 1)), path, f"{base}/_checkpoint")
+    table = spark.read.parquet(path)
+    counts = S.batch_counts(table).agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("rows_over_batches"))
+    return counts.crossJoin(table.agg(F.count(F.lit(1)).alias("table_rows")))
 
 
 @register(
@@ -150,8 +173,8 @@ def q_stream_dedupe(spark, sf_dir):
     base = scratch_dir(spark, "stream")
     src, table, ckpt = f"{base}/landing", f"{base}/bronze", f"{base}/_checkpoint"
     clicks = T.clickstream(spark, sf_dir)
-    S.drop_files(clicks, src, FILES, "event_id")
-    S.drop_files(clicks, src, FILES, "event_id")
+    land(spark, clicks, src)
+    land(spark, clicks, src)
     stream = S.dedupe_within_watermark(
         S.file_stream(spark, src, CLICK_SCHEMA, FILES_PER_TRIGGER), ["event_id"], "ts", "400 days"
     )

@@ -3,34 +3,69 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Defaults a local test session needs. On a cluster the submitter's
-# configuration wins: ``get_session`` only fills keys that are unset.
-_LOCAL_DEFAULTS = {
-    "spark.sql.shuffle.partitions": "8",
+# What the library relies on wherever it runs, and what a local test session
+# needs besides. Only keys that the submitter left unset are filled.
+_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+}
+_LOCAL_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
 }
 
 
+def submitted_keys() -> set[str]:
+    """Configuration keys that the submitter has set: through spark-submit, the
+    submit arguments of a Python shell, or the defaults file."""
+    keys: set[str] = set()
+    if "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()
+        keys |= {k for k, _ in SparkConf().getAll()}
+    args = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    keys |= set(re.findall(r"--conf[ =]+[\"']?(spark\.[\w.]+)=", args))
+    if "--driver-memory" in args:
+        keys.add("spark.driver.memory")
+    if "--master" in args:
+        keys.add("spark.master")
+    folder = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    defaults = os.path.join(folder, "spark-defaults.conf")
+    if os.path.isfile(defaults):
+        with open(defaults, encoding="utf-8") as f:
+            keys |= set(re.findall(r"^\s*(spark\.[\w.]+)", f.read(), re.MULTILINE))
+    return keys
+
+
 def get_session(master: str | None = None, app: str = "mercato", **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    merged = dict(_LOCAL_DEFAULTS)
-    merged.update(conf)
-    for k, v in merged.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    """The running session, or a new one. ``master`` and ``conf`` are the
+    caller's own wishes; of the defaults only unset keys are filled, and sizes
+    (shuffle partitions, driver memory) only for a local master."""
+    if SparkSession.getActiveSession() is None:
+        preset = submitted_keys()
+        builder = SparkSession.builder.appName(app)
+        if master:
+            builder = builder.master(master)
+        local = master is not None and master.startswith("local")
+        merged = _DEFAULTS | (_LOCAL_DEFAULTS if local else {})
+        merged = {k: v for k, v in merged.items() if k not in preset} | conf
+        for k, v in merged.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = SparkSession.getActiveSession()
+        for k, v in conf.items():
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -47,8 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    is used as is. Only when it is unset (local tests) a fresh scratch
-    folder is created for this process.
+    is used as is. Only when it is unset under a local master a fresh scratch
+    folder is created for this process; a cluster without it is an error.
     """
     sc = _context(spark)
     if sc is not None and sc.getCheckpointDir():
@@ -57,6 +92,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(configured)

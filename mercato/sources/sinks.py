@@ -44,11 +44,14 @@ def append_table(df: DataFrame, table: str) -> None:
         return
     existing = spark.table(table)
     missing_in_new = [c for c in existing.columns if c not in df.columns]
-    if set(df.columns) - set(existing.columns):
-        # New columns: rewrite through a staging table with the union schema.
-        replace_table(existing.unionByName(df, allowMissingColumns=True), table)
-        return
-    aligned = df.select(*[F.col(c) for c in df.columns], *[F.lit(None).alias(c) for c in missing_in_new])
+    new = [f for f in df.schema.fields if f.name not in existing.columns]
+    if new:
+        # Only the catalogue changes; files written before read as NULL.
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+        spark.catalog.refreshTable(table)
+        existing = spark.table(table)
+    aligned = df.select(*[F.col(c) for c in df.columns], *[F.lit(None).cast(existing.schema[c].dataType).alias(c) for c in missing_in_new])
     aligned.select(*existing.columns).write.mode("append").insertInto(table)
 
 
