@@ -135,7 +135,7 @@ def parse_record(data: bytes, at: int) -> tuple[Found | None, str, int]:
     if end < 0:
         return None, "header does not end", at
     headers = _header_lines(data[at:end].split(b"\r\n")[1:])
-    if headers is None or not headers.get("content-length", "").isdigit():
+    if headers is None or not headers.get("content-length", "").isdigit() or not {"warc-type", "warc-record-id"} <= headers.keys():
         return None, "bad header", at
     lo = end + 4
     hi = lo + int(headers["content-length"])

@@ -118,7 +118,8 @@ def test_salvage(packed):
             good = [f.headers["warc-record-id"] for f in found if f.reason is None]
             assert [n for n in names if n != names[k]] == [g for g in good if g != names[k] and g in names]
             covered = sorted((f.start, f.end) for f in found if f.reason is not None)
-            if names[k] not in good:
+            # only a member's check sum sees every changed byte
+            if packed and names[k] not in good:
                 assert covered and covered[0][0] <= at < covered[-1][1]
     # a lost middle, a lost end, junk in front
     assert ids(b"junk" + data) == names
