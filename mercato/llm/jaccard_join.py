@@ -206,16 +206,16 @@ def _first_shingles(docs: DataFrame, late: Bloom, light: int) -> DataFrame:
 #: Bits dropped of a shingle for the filter of shared shingles.
 SHORT = 22
 
-FOUND = "kind int, token long, id long, n int, pos int, shingles array<long>, histogram binary"
+FOUND = "kind int, token long, id long, n int, pos int, shingles array<long>, histogram array<smallint>"
 
-#: Shingles of a set by the highest byte of their hashes. The sum of the smaller
-#: counts of two sets bounds their overlap from above; sets of more shingles than
-#: this have no histogram (a count might pass a byte) and go to the whole check.
-MOST_HISTOGRAM = 40_000
+#: Shingles of a set by the highest seven bits of their hashes. The sum of the
+#: smaller counts of two sets bounds their overlap from above; larger sets than
+#: this have no histogram (a count might pass its type) and go to the whole check.
+MOST_HISTOGRAM = 1_000_000
 
 
-def histogram(s: np.ndarray) -> bytes | None:
-    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes() if len(s) <= MOST_HISTOGRAM else None
+def histogram(s: np.ndarray) -> np.ndarray | None:
+    return np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=128).astype(np.int16) if len(s) <= MOST_HISTOGRAM else None
 
 
 def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFrame:
@@ -268,7 +268,7 @@ def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
     return id_and_text(docs).mapInArrow(run, FOUND)
 
 
-FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16())]
 
 
 # -- boundary ----------------------------------------------------------------
@@ -332,12 +332,12 @@ def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFram
     postings = found.where("kind = 0").groupBy("token", "id").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
     sets = found.where("kind = 2").select("id", "n", "shingles")
 
-    hists = found.where("kind = 2").groupBy("id").agg(F.min("n").alias("n"), F.min("histogram").alias("h"))
+    hists = found.where("kind = 2").groupBy("id").agg(F.min("n").alias("m"), F.first("histogram").alias("h"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a = hists.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"))
-        b = hists.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("h").alias("hb"))
-        pairs = materialize(pairs.join(a, "a").join(b, "b").mapInArrow(_may_overlap, "a long, b long"))
+        x, y = (hists.select(*[F.col(c).alias(f"{side}_{c}") for c in hists.columns]) for side in "xy")
+        may = pairs.join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id")).where(_may_overlap("x", "y"))
+        pairs = materialize(may.select("a", "b"))
         used = pairs.select(F.explode(F.array("a", "b")).alias("used")).distinct()
         own = materialize(sets.join(used, F.col("id") == F.col("used"), "left_semi").groupBy("id").agg(F.first("shingles").alias("s")))
         a = own.select(F.col("id").alias("a"), F.col("s").alias("sa"))
@@ -345,7 +345,7 @@ def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFram
         both = pairs.join(a, "a").join(b, "b")
         return both.where(_similar(F.col("sa"), F.col("sb"))).select("a", "b")
 
-    links = list_links(postings, _pair_filter, verify, "pos < 4", light_links(found))
+    links = list_links(postings, _pair_filter, verify, "pos < 4", light_links(found), hists, _may_overlap)
     firsts = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
     labels = components(links)
     named = firsts.join(labels, F.col("set_id") == F.col("id"), "left").select("set_id", "first", F.coalesce("component", "set_id").alias("c"))
@@ -354,14 +354,11 @@ def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFram
     return rows, named.join(least, F.col("c") == F.col("of")).select("set_id", "component")
 
 
-def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (a, b, na, ha, nb, hb) the pairs whose histograms allow the overlap."""
-    for batch in batches:
-        col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        ha, hb = col["ha"].to_pylist(), col["hb"].to_pylist()
-        n = col["na"].to_numpy() + col["nb"].to_numpy()
-        keep = np.array([x is None or y is None or (NUM + DEN) * int(np.minimum(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).sum()) >= NUM * int(k) for x, y, k in zip(ha, hb, n)], dtype=bool)
-        yield pa.RecordBatch.from_arrays([col["a"].filter(pa.array(keep)), col["b"].filter(pa.array(keep))], names=["a", "b"])
+def _may_overlap(x: str, y: str):
+    """Whether the histograms of two sets (h, of m shingles) allow the overlap."""
+    most = F.expr(f"aggregate(zip_with({x}_h, {y}_h, (p, q) -> least(p, q)), 0, (s, v) -> s + v)")
+    enough = (NUM + DEN) * most >= NUM * (F.col(f"{x}_m") + F.col(f"{y}_m"))
+    return F.col(f"{x}_h").isNull() | F.col(f"{y}_h").isNull() | enough
 
 
 def _similar(a, b):

@@ -56,13 +56,14 @@ def _sides(df: DataFrame, side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
-def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None) -> DataFrame:
+def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None, attributes: DataFrame | None = None, bound: Callable[[str, str], Column] | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all links among ``postings``.
 
     ``pair_filter(x, y)`` is a condition on the columns x_... and y_... of two
     postings of a token, true for at least one order of a pair that may be a
     link; ``first`` is an SQL condition that picks the postings for the centres;
-    ``known`` are links found before."""
+    ``known`` are links found before; ``bound(x, y)`` is one more condition, on
+    ``attributes`` (id, ...), that step 3 asks of a pair before it is made."""
     every = materialize(postings)
     none = every.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
     found = known if known is not None else none
@@ -105,12 +106,15 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         groups = several(found)[1]
         found = add(found, star(groups.select("token", "weight", *[F.col(f"m.{c}").alias(c) for c in own])))
     placed, groups = several(found)
-    placed, groups = materialize(placed), groups.select("token", "component")
+    groups = groups.select("token", "component")
+    placed = placed.join(groups, ["token", "component"], "left_semi")
+    placed = materialize(placed if attributes is None else placed.join(attributes, "id"))
     g, h = _sides(groups, "g"), _sides(groups, "h")
     crossing = g.join(h, (F.col("g_token") == F.col("h_token")) & (F.col("g_component") < F.col("h_component")))
     x, y = _sides(placed, "x"), _sides(placed, "y")
     left = crossing.join(x, (F.col("g_token") == F.col("x_token")) & (F.col("g_component") == F.col("x_component")))
-    rest = candidates(left, y, (F.col("h_token") == F.col("y_token")) & (F.col("h_component") == F.col("y_component")))
+    meet = (F.col("h_token") == F.col("y_token")) & (F.col("h_component") == F.col("y_component"))
+    rest = candidates(left, y, meet if bound is None else meet & bound("x", "y"))
     return add(found, rest)
 
 
