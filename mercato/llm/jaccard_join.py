@@ -12,13 +12,18 @@ join runs over classes, so copies cost one row each.
 * Heavy sets are found through inverted lists of the first shingles of each set
   in one global order (a set that shares none of them with another cannot reach
   the threshold). The order puts shingles of long lists last, so a passage that
-  many documents share is no candidate maker. Candidates pass a size and a
-  position filter and one by histograms of the hashes (bounds that lose no
-  link) and are checked on their whole sets.
+  many documents share is no candidate maker. Scanning the lists counts the
+  first shingles that two sets have in common; the count and the sizes bound
+  the overlap from above. Candidates pass this bound, one by histograms of the
+  hashes (both lose no link) and are checked on their whole sets.
 
 The boundary between light and heavy is chosen by cost from the counts of sizes.
 Sets near the boundary do both, so that light and heavy partners meet.
 
+The texts are read once: their sets are written (five bytes a shingle) and every
+later pass reads these. Sets are compared by hashes of 40 bits, so two different
+shingles of sets of n fall together with a probability of about n^2 / 2^40.
+
 Nothing grows in one place: a posting whose shingle is in one class only never
 leaves its task (a filter of fixed size, built from partial minima and maxima,
 tells), long lists are compared with a centre and then by component (links.py),
@@ -56,8 +61,8 @@ LONG_LIST = 64
 #: that of making one.
 MOST_LIGHT = 16
 CHECK_COST = 4.0
-#: Letters of text whose shingles are counted at once in a task.
-COUNT_AT_ONCE = 8_000_000
+#: Shingles that are counted at once in a task.
+COUNT_AT_ONCE = 1_500_000
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -92,7 +97,7 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
 
 
 def spread(short: np.ndarray) -> np.ndarray:
-    """Filter keys of shortened hashes; the same in SQL: short * 2^22 + short."""
+    """Filter keys of shortened hashes; the same in SQL: short * 2^24 + short."""
     return ((short << np.uint64(SHORT)) | (short & np.uint64((1 << SHORT) - 1))).view(np.int64)
 
 
@@ -125,17 +130,65 @@ def ordered(s: np.ndarray, late: Bloom | None) -> np.ndarray:
     """The set in the global order: long lists last, else by hash."""
     if late is None or not len(s):
         return s
-    is_late = late.has(s.view(np.int64))
+    is_late = late.has(spread(s >> np.uint64(SHORT)))
     return np.concatenate([s[~is_late], s[is_late]])
 
 
-# -- passes over the texts ---------------------------------------------------
-SIZES = "kind int, key long, id long, n long"
+# -- the sets, written once ----------------------------------------------------
+SETS = "doc_id long, id long, n long, s binary"
+WIDTH = 5
+
+
+def pack_set(s: np.ndarray) -> bytes:
+    """The highest 40 bits of each hash."""
+    return s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].tobytes()
 
 
-def _sizes_and_counts(docs: DataFrame) -> DataFrame:
-    """kind 0: key = doc_id, id of the set, n; kind 1: key = shingle, n = how
-    often a part of a task has seen it in different sets, twice at least."""
+def unpack_set(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // WIDTH, 8), dtype=np.uint8)
+    out[:, :WIDTH] = np.frombuffer(data, dtype=np.uint8).reshape(-1, WIDTH)
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """One row per document: id and size of its set, and the set itself unless
+    the batch has had it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen: set[int] = set()
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                ids, sizes, packed = [], [], []
+                for value in part.column(1):
+                    s = shingle_set(value.as_py())
+                    own = set_id(s)
+                    ids.append(own)
+                    sizes.append(len(s))
+                    packed.append(None if own in seen or not len(s) else pack_set(s))
+                    seen.add(own)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "id", "n", "s"])
+
+    return id_and_text(docs).mapInArrow(run, SETS)
+
+
+def _filled(sets: DataFrame) -> DataFrame:
+    return sets.where("s IS NOT NULL").select("id", "s")
+
+
+def _each(b: pa.RecordBatch, lo: int, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(id, set) of the rows of a slice, each set once."""
+    seen: set[int] = set()
+    part = b.slice(lo, size)
+    for own, data in zip(part.column(0).to_pylist(), part.column(1)):
+        if own not in seen:
+            seen.add(own)
+            yield own, unpack_set(data.as_py())
+
+
+def _counts(sets: DataFrame) -> DataFrame:
+    """(key, n): the filter key of a shingle and how often a part of a task has seen it in
+    different sets, twice at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -149,64 +202,45 @@ def _sizes_and_counts(docs: DataFrame) -> DataFrame:
             n = np.diff(np.append(starts, len(every)))
             keep = n > 1
             held, seen, size = [], set(), 0
-            k = int(keep.sum())
-            return _batch(np.ones(k, dtype=np.int32), every[starts[keep]].view(np.int64), np.zeros(k, dtype=np.int64), n[keep])
+            return pa.RecordBatch.from_arrays([pa.array(spread(every[starts[keep]] >> np.uint64(SHORT))), pa.array(n[keep], pa.int64())], names=["key", "n"])
 
         for b in batches:
-            ids, texts = b.column(0), b.column(1)
-            set_ids, sizes = [], []
-            for value in texts:
-                t = value.as_py()
-                s = shingle_set(t)
-                own = set_id(s)
-                set_ids.append(own)
-                sizes.append(len(s))
+            for own, s in _each(b, 0, b.num_rows):
                 if own not in seen:
                     seen.add(own)
                     held.append(s)
-                    size += len(t)
+                    size += len(s)
                 if size > COUNT_AT_ONCE:
                     yield counted()
-            yield pa.RecordBatch.from_arrays([pa.array([0] * len(sizes), pa.int32()), ids, pa.array(set_ids, pa.int64()), pa.array(sizes, pa.int64())], names=["kind", "key", "id", "n"])
         yield counted()
 
-    return id_and_text(docs).mapInArrow(run, SIZES)
-
-
-def _batch(kind, key, ids, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(ids, pa.int64()), pa.array(n, pa.int64())], names=["kind", "key", "id", "n"])
+    return _filled(sets).mapInArrow(run, "key long, n long")
 
 
-def _first_shingles(docs: DataFrame, late: Bloom, light: int) -> DataFrame:
+def _first_shingles(sets: DataFrame, late: Bloom, light: int) -> DataFrame:
     """(token, id) of the first shingles of every heavy set, each set once a
     batch; the hashes are cut short, as only a filter is made of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: set[int] = set()
             tokens, ids = [], []
-            for value in b.column(1):
-                s = shingle_set(value.as_py())
-                if most_partner(len(s)) <= light:
-                    continue
-                own = set_id(s)
-                if own in seen:
-                    continue
-                seen.add(own)
-                first = ordered(s, late)[: prefix_length(len(s))]
-                tokens.append(first)
-                ids.append(np.full(len(first), own & 0x7FFFFFFF, dtype=np.int64))
+            for own, s in _each(b, 0, b.num_rows):
+                if most_partner(len(s)) > light:
+                    first = ordered(s, late)[: prefix_length(len(s))]
+                    tokens.append(first)
+                    ids.append(np.full(len(first), own & 0x7FFFFFFF, dtype=np.int64))
             if tokens:
                 every = np.concatenate(tokens) >> np.uint64(SHORT)
                 yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64), pa.int64()), pa.array(np.concatenate(ids), pa.int64())], names=["token", "id"])
 
-    return id_and_text(docs).mapInArrow(run, "token long, id long")
+    return _filled(sets).mapInArrow(run, "token long, id long")
 
 
-#: Bits dropped of a shingle for the filter of shared shingles.
-SHORT = 22
+#: Bits dropped of a shingle for the filter of shared shingles (the lowest 24
+#: bits of an unpacked one are zero).
+SHORT = 24
 
-FOUND = "kind int, token long, id long, n int, pos int, shingles array<long>, histogram array<smallint>"
+FOUND = "kind int, token long, id long, n int, pos int, histogram array<smallint>"
 
 #: Shingles of a set by the highest seven bits of their hashes. The sum of the
 #: smaller counts of two sets bounds their overlap from above; larger sets than
@@ -218,18 +252,16 @@ def histogram(s: np.ndarray) -> np.ndarray | None:
     return np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=128).astype(np.int16) if len(s) <= MOST_HISTOGRAM else None
 
 
-def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFrame:
+def _postings(sets: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFrame:
     """kind 0: postings of heavy sets that another set may share; kind 1: the
-    subsets of light sets (pos = their size); kind 2: the sets of kind 0. Each
-    set comes once a batch."""
+    subsets of light sets (pos = their size); kind 2: histograms of the sets of
+    kind 0. Each set comes once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in FOUND.split(", ")]
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
-                seen: set[int] = set()
-                kind, token, ids, size, pos, sets, hists = [], [], [], [], [], [], []
-                held = 0
+                kind, token, ids, size, pos, hists = [], [], [], [], [], []
 
                 def rows(k: int, t: list[int], i: int, n: int, p: list[int]) -> None:
                     kind.extend([k] * len(t))
@@ -237,15 +269,10 @@ def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
                     ids.extend([i] * len(t))
                     size.extend([n] * len(t))
                     pos.extend(p)
-                    sets.extend([None] * len(t))
                     hists.extend([None] * len(t))
 
-                for value in b.column(1).slice(lo, 1000):
-                    s = shingle_set(value.as_py())
+                for own, s in _each(b, lo, 1000):
                     n = len(s)
-                    if not n or (own := set_id(s)) in seen:
-                        continue
-                    seen.add(own)
                     if n <= light:
                         for c in subset_sizes(n):
                             keys = [xxhash.xxh3_64_intdigest(np.array(x, dtype=np.uint64).tobytes(), seed=c) - (1 << 63) for x in combinations(s.tolist(), c)]
@@ -256,19 +283,39 @@ def _postings(docs: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
                         if len(may):
                             rows(0, first[may].view(np.int64).tolist(), own, n, may.tolist())
                             rows(2, [0], own, n, [0])
-                            sets[-1], hists[-1] = s.view(np.int64), histogram(s)
-                            held += n
-                    if held > 2_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, sets, hists), FOUND_KINDS)], names=names)
-                        kind, token, ids, size, pos, sets, hists = [], [], [], [], [], [], []
-                        held = 0
+                            hists[-1] = histogram(s)
                 if kind:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, sets, hists), FOUND_KINDS)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, hists), FOUND_KINDS)], names=names)
+
+    return _filled(sets).mapInArrow(run, FOUND)
+
+
+FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int16())]
+
+
+def _wanted_sets(sets: DataFrame, wanted: Bloom) -> DataFrame:
+    """(id, s) of the sets that pass the filter, before anything is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(wanted.has(b.column(0).to_numpy(zero_copy_only=False))))
+
+    return _filled(sets).mapInArrow(run, "id long, s binary")
+
 
-    return id_and_text(docs).mapInArrow(run, FOUND)
+def _similar_pairs(both: DataFrame) -> DataFrame:
+    """The (a, b) of rows (a, b, sa, sb) whose sets have the similarity."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2), b.column(3)):
+                p, q = unpack_set(x.as_py()), unpack_set(y.as_py())
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(DEN * common >= NUM * (len(p) + len(q) - common))
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16())]
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 # -- boundary ----------------------------------------------------------------
@@ -312,26 +359,31 @@ def _pair_filter(x: str, y: str):
     return (nx <= ny) & (NUM * ny <= DEN * nx) & index & ((NUM + DEN) * rest >= NUM * (nx + ny))
 
 
+def _could_overlap(c, n, m):
+    """Whether sets of n and m shingles with c first shingles in common can link:
+    those behind the first ones of either set are all that can come on top."""
+    behind = F.ceil(NUM * F.greatest(n, m) / DEN) - 1
+    return (NUM + DEN) * (c + behind) >= NUM * (n + m)
+
+
 def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, classes): (doc_id, set_id, n) of all rows, and (set_id,
     component) of the sets that have a doc_id, component being a doc_id."""
     spark = docs.sparkSession
     path = shared_path(spark, "shingles")
-    _sizes_and_counts(docs).write.parquet(f"{path}/sizes")
-    sizes = spark.read.parquet(f"{path}/sizes")
-    rows = sizes.where("kind = 0").select(F.col("key").alias("doc_id"), F.col("id").alias("set_id"), "n")
-    late = bloom(sizes.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > LONG_LIST).select("key"), "key")
+    _sets(docs).write.parquet(f"{path}/sets")
+    sets = spark.read.parquet(f"{path}/sets")
+    rows = sets.select("doc_id", F.col("id").alias("set_id"), "n")
+    late = bloom(_counts(sets).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > LONG_LIST).select("key"), "key")
     if light is None:
         counted = rows.where(F.col("n") <= most_partner(MOST_LIGHT)).groupBy("n").agg(F.countDistinct("set_id").alias("sets")).collect()
         light = light_boundary({r["n"]: r["sets"] for r in counted})
     # shingles that two sets have among their first ones; partial minima and maxima
-    twice = _first_shingles(docs, late, light).groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
+    twice = _first_shingles(sets, late, light).groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
     shared = bloom(twice.select(F.expr(f"shiftleft(token, {SHORT}) | (token & {(1 << SHORT) - 1}L)").alias("key")), "key")
-    _postings(docs, late, shared, light).write.parquet(f"{path}/found")
+    _postings(sets, late, shared, light).write.parquet(f"{path}/found")
     found = spark.read.parquet(f"{path}/found")
     postings = found.where("kind = 0").groupBy("token", "id").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    sets = found.where("kind = 2").select("id", "n", "shingles")
-
     hists = found.where("kind = 2").groupBy("id").agg(F.min("n").alias("m"), F.first("histogram").alias("h"))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -339,13 +391,13 @@ def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFram
         may = pairs.join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id")).where(_may_overlap("x", "y"))
         pairs = materialize(may.select("a", "b"))
         used = pairs.select(F.explode(F.array("a", "b")).alias("used")).distinct()
-        own = materialize(sets.join(used, F.col("id") == F.col("used"), "left_semi").groupBy("id").agg(F.first("shingles").alias("s")))
+        own = _wanted_sets(sets, bloom(used, "used")).groupBy("id").agg(F.first("s").alias("s"))
         a = own.select(F.col("id").alias("a"), F.col("s").alias("sa"))
         b = own.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-        both = pairs.join(a, "a").join(b, "b")
-        return both.where(_similar(F.col("sa"), F.col("sb"))).select("a", "b")
+        return _similar_pairs(pairs.join(a, "a").join(b, "b"))
 
-    links = list_links(postings, _pair_filter, verify, "pos < 4", light_links(found), hists, _may_overlap)
+    narrow = (lambda x, y: NUM * F.greatest(F.col(f"{x}_n"), F.col(f"{y}_n")) <= DEN * F.least(F.col(f"{x}_n"), F.col(f"{y}_n")), _could_overlap, "n")
+    links = list_links(postings, _pair_filter, verify, "pos < 4", light_links(found), hists, _may_overlap, narrow)
     firsts = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
     labels = components(links)
     named = firsts.join(labels, F.col("set_id") == F.col("id"), "left").select("set_id", "first", F.coalesce("component", "set_id").alias("c"))
@@ -361,11 +413,6 @@ def _may_overlap(x: str, y: str):
     return F.col(f"{x}_h").isNull() | F.col(f"{y}_h").isNull() | enough
 
 
-def _similar(a, b):
-    common = F.size(F.array_intersect(a, b))
-    return DEN * common >= NUM * (F.size(a) + F.size(b) - common)
-
-
 def jaccard_components(docs: DataFrame, light: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document: the smallest doc_id
     reachable by links, its own if there are none."""

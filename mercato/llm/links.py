@@ -10,8 +10,9 @@ Lists of up to ``LONG_LIST`` ids are compared within. A list may be of any lengt
    needs no more pairs (they are connected already), and one row per (token,
    component) stands for all of them; in two rounds these rows are compared with
    one of the list's largest component, another one in each list;
-3. only lists with several components go on: their components are paired, and
-   the ids of different components are compared, whatever their number.
+3. only lists with several components go on: the ids of different components
+   are compared, whatever their number; the join makes only the pairs that pass
+   the filters.
 
 Step 3 makes the result exact: the components are those of all links."""
 
@@ -31,6 +32,7 @@ LONG_LIST = 48
 ROUNDS = 2
 
 Verify = Callable[[DataFrame], DataFrame]
+Narrow = tuple[Callable[[str, str], Column], Callable[[Column, Column, Column], Column], str]
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -56,14 +58,18 @@ def _sides(df: DataFrame, side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
-def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None, attributes: DataFrame | None = None, bound: Callable[[str, str], Column] | None = None) -> DataFrame:
+def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None, attributes: DataFrame | None = None, bound: Callable[[str, str], Column] | None = None, narrow: Narrow | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all links among ``postings``.
 
     ``pair_filter(x, y)`` is a condition on the columns x_... and y_... of two
     postings of a token, true for at least one order of a pair that may be a
     link; ``first`` is an SQL condition that picks the postings for the centres;
     ``known`` are links found before; ``bound(x, y)`` is one more condition, on
-    ``attributes`` (id, ...), that step 3 asks of a pair before it is made."""
+    ``attributes`` (id, ...), that step 3 asks of a pair before it is made.
+    ``narrow`` is for postings that hold all tokens of which a link shares a
+    least number: a condition on two postings that leaves every token of a
+    possible pair, one on (number of common tokens, size, size), and the name of
+    the size; tokens of long lists, which are not scanned for it, count as common."""
     every = materialize(postings)
     none = every.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
     found = known if known is not None else none
@@ -72,9 +78,10 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
     short = every.join(long, "token", "left_anti") if has_long else every
     postings = materialize(every.join(long, "token", "left_semi")) if has_long else every
 
-    def candidates(x: DataFrame, y: DataFrame, on: Column) -> DataFrame:
+    def candidates(x: DataFrame, y: DataFrame, on: Column, more: Column | None = None) -> DataFrame:
         both = pair_filter("x", "y") | pair_filter("y", "x")
-        pair = x.join(y, on & (F.col("x_id") != F.col("y_id")) & both)
+        on = on & (F.col("x_id") != F.col("y_id")) & both
+        pair = x.join(y, on if more is None else on & more)
         return pair.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
     def star(members: DataFrame) -> DataFrame:
@@ -97,7 +104,20 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
     def add(found: DataFrame, pairs: DataFrame) -> DataFrame:
         return materialize(found.select("a", "b").unionByName(verify(materialize(pairs)).select("a", "b")))
 
-    found = add(found, candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")))
+    def counted() -> DataFrame:
+        meet, enough, size = narrow
+        x, y = _sides(short, "x"), _sides(short, "y")
+        pair = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_id") < F.col("y_id")) & meet("x", "y"))
+        pair = pair.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min(f"x_{size}").alias("n"), F.min(f"y_{size}").alias("m"))
+        if not has_long:
+            return pair.where(enough(F.col("c"), F.col("n"), F.col("m"))).select("a", "b")
+        unseen = postings.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
+        p, q = (unseen.select(F.col("id").alias(side), F.col("k").alias(f"k{side}")) for side in "ab")
+        pair = pair.join(p, "a", "left").join(q, "b", "left")
+        c = F.col("c") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0)))
+        return pair.where(enough(c, F.col("n"), F.col("m"))).select("a", "b")
+
+    found = add(found, candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")) if narrow is None else counted())
     if not has_long:
         return found
     own = [c for c in postings.columns if c != "token"]
@@ -109,12 +129,9 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
     groups = groups.select("token", "component")
     placed = placed.join(groups, ["token", "component"], "left_semi")
     placed = materialize(placed if attributes is None else placed.join(attributes, "id"))
-    g, h = _sides(groups, "g"), _sides(groups, "h")
-    crossing = g.join(h, (F.col("g_token") == F.col("h_token")) & (F.col("g_component") < F.col("h_component")))
     x, y = _sides(placed, "x"), _sides(placed, "y")
-    left = crossing.join(x, (F.col("g_token") == F.col("x_token")) & (F.col("g_component") == F.col("x_component")))
-    meet = (F.col("h_token") == F.col("y_token")) & (F.col("h_component") == F.col("y_component"))
-    rest = candidates(left, y, meet if bound is None else meet & bound("x", "y"))
+    apart = (F.col("x_token") == F.col("y_token")) & (F.col("x_component") < F.col("y_component"))
+    rest = candidates(x, y, apart, None if bound is None else bound("x", "y"))
     return add(found, rest)
 
 
