@@ -43,13 +43,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = materialize(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
     while True:
         heard = edges.join(labels, edges.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("heard"))
-        merged = labels.join(heard, "id").select("id", F.least("component", "heard").alias("component"))
+        merged = labels.join(heard, "id").select("id", F.least("component", "heard").alias("component"), F.col("component").alias("old"))
         up = labels.select(F.col("id").alias("up_id"), F.col("component").alias("up"))
-        jumped = merged.join(up, F.col("component") == F.col("up_id"), "left").select("id", F.least("component", F.coalesce("up", "component")).alias("component"))
-        new = materialize(jumped)
-        before = labels.withColumnRenamed("component", "old")
-        changed = new.join(before, "id").where("component <> old").limit(1).count()
-        labels = new
+        jumped = merged.join(up, F.col("component") == F.col("up_id"), "left")
+        least = F.least("component", F.coalesce("up", "component"))
+        new = materialize(jumped.select("id", least.alias("component"), (least != F.col("old")).alias("changed")))
+        changed = new.where("changed").limit(1).count()
+        labels = new.select("id", "component")
         if not changed:
             return labels
 
@@ -102,7 +102,10 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         return placed, materialize(mixed.join(lists, "token", "left_semi"))
 
     def add(found: DataFrame, pairs: DataFrame) -> DataFrame:
-        return materialize(found.select("a", "b").unionByName(verify(materialize(pairs)).select("a", "b")))
+        pairs = materialize(pairs)
+        if pairs.isEmpty():
+            return found
+        return materialize(found.select("a", "b").unionByName(verify(pairs).select("a", "b")))
 
     def counted() -> DataFrame:
         meet, enough, size = narrow
@@ -110,22 +113,42 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         pair = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_id") < F.col("y_id")) & meet("x", "y"))
         pair = pair.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min(f"x_{size}").alias("n"), F.min(f"y_{size}").alias("m"))
         if not has_long:
-            return pair.where(enough(F.col("c"), F.col("n"), F.col("m"))).select("a", "b")
+            return pair.where(enough(F.col("c"), F.col("n"), F.col("m"))).select("a", "b", "c")
         unseen = postings.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
         p, q = (unseen.select(F.col("id").alias(side), F.col("k").alias(f"k{side}")) for side in "ab")
         pair = pair.join(p, "a", "left").join(q, "b", "left")
         c = F.col("c") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0)))
-        return pair.where(enough(c, F.col("n"), F.col("m"))).select("a", "b")
-
-    found = add(found, candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")) if narrow is None else counted())
+        return pair.where(enough(c, F.col("n"), F.col("m"))).select("a", "b", "c")
+
+    def best_first(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Verify for each id its pair with the most common tokens, which joins
+        the copies of one text to it; then the pairs that still cross."""
+        pairs = materialize(pairs)
+        ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("o")), F.struct(F.col("b").alias("id"), F.col("a").alias("o")))).alias("e"), "c")
+        best = ends.groupBy("e.id").agg(F.max(F.struct("c", (-F.col("e.o")).alias("o"))).alias("m"))
+        other = -F.col("m.o")
+        found = add(found, best.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b")).distinct())
+        labels = components(found)
+        ca, cb = (labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")) for side in "ab")
+        placed = pairs.join(ca, "a", "left").join(cb, "b", "left")
+        return add(found, placed.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+
+    if narrow is None:
+        found = add(found, candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")))
+    else:
+        found = best_first(found, counted())
     if not has_long:
         return found
     own = [c for c in postings.columns if c != "token"]
     found = add(found, star(postings.where(first).withColumn("weight", F.lit(1))))
     for _ in range(ROUNDS):
         groups = several(found)[1]
+        if groups.isEmpty():
+            return found
         found = add(found, star(groups.select("token", "weight", *[F.col(f"m.{c}").alias(c) for c in own])))
     placed, groups = several(found)
+    if groups.isEmpty():
+        return found
     groups = groups.select("token", "component")
     placed = placed.join(groups, ["token", "component"], "left_semi")
     placed = materialize(placed if attributes is None else placed.join(attributes, "id"))
