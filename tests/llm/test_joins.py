@@ -86,6 +86,12 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**{k: 1 for k in range(1, 41)}, **{k: 100 for k in range(100, 160)}}
 
 
+def test_sets_keep_forty_bits():
+    s = J.shingle_set("a b c d e f g a b c d e")
+    assert (J.unpack_set(J.pack_set(s)) == s >> np.uint64(24) << np.uint64(24)).all()
+    assert len(J.unpack_set(J.pack_set(J.shingle_set("")))) == 0
+
+
 def test_bloom_never_loses_a_key(spark):
     rnd = random.Random(1)
     keys = [rnd.getrandbits(64) - (1 << 63) for _ in range(5000)]
@@ -111,6 +117,22 @@ def test_simhash_of_equal_and_near_lines():
     assert (tokens[0] == tokens[1]).sum() >= 1
 
 
+def test_no_word_prevails_in_a_simhash():
+    rows = [" | ".join(f"w{i}x{k}" for k in range(30)).split() for i in range(2)]
+    a, b = D.simhashes(rows)
+    assert bin(int(a) ^ int(b)).count("1") > 8
+    assert D.features(["|"] * 6) and D.features(["ab"] * 20) == ["ab"] * 3
+    assert D.features("the cat and the dog".split()) != []
+
+
+def test_rests_of_lines():
+    assert D.trimmed("abc", "abc") == ("", "")
+    assert D.trimmed("abc", "abcd") == ("", "d")
+    assert D.trimmed("xaby", "xcy") == ("ab", "c")
+    assert D.trimmed("aa", "aaa") == ("", "a")
+    assert D.trimmed("", "q") == ("", "q")
+
+
 def test_pigeonhole():
     rnd = random.Random(3)
     sims = np.array([rnd.getrandbits(64) for _ in range(300)], dtype=np.uint64)
