@@ -58,7 +58,7 @@ def _sides(df: DataFrame, side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
-def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None, attributes: DataFrame | None = None, bound: Callable[[str, str], Column] | None = None, narrow: Narrow | None = None) -> DataFrame:
+def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None, attributes: DataFrame | None = None, bound: Callable[[str, str], Column] | None = None, narrow: Narrow | None = None, ready: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all links among ``postings``.
 
     ``pair_filter(x, y)`` is a condition on the columns x_... and y_... of two
@@ -69,7 +69,9 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
     ``narrow`` is for postings that hold all tokens of which a link shares a
     least number: a condition on two postings that leaves every token of a
     possible pair, one on (number of common tokens, size, size), and the name of
-    the size; tokens of long lists, which are not scanned for it, count as common."""
+    the size; tokens of long lists, which are not scanned for it, count as common.
+    ``ready`` is called once, before the first pairs are verified, with the ids
+    that pairs may have (ends of the pairs of short lists, ids of long ones)."""
     every = materialize(postings)
     none = every.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
     found = known if known is not None else none
@@ -123,7 +125,6 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
     def best_first(found: DataFrame, pairs: DataFrame) -> DataFrame:
         """Verify for each id its pair with the most common tokens, which joins
         the copies of one text to it; then the pairs that still cross."""
-        pairs = materialize(pairs)
         ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("o")), F.struct(F.col("b").alias("id"), F.col("a").alias("o")))).alias("e"), "c")
         best = ends.groupBy("e.id").agg(F.max(F.struct("c", (-F.col("e.o")).alias("o"))).alias("m"))
         other = -F.col("m.o")
@@ -133,10 +134,11 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         placed = pairs.join(ca, "a", "left").join(cb, "b", "left")
         return add(found, placed.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
-    if narrow is None:
-        found = add(found, candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")))
-    else:
-        found = best_first(found, counted())
+    pairs = materialize(candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")) if narrow is None else counted())
+    if ready is not None:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+        ready(ids.unionByName(postings.select("id")) if has_long else ids)
+    found = add(found, pairs) if narrow is None else best_first(found, pairs)
     if not has_long:
         return found
     own = [c for c in postings.columns if c != "token"]
