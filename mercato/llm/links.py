@@ -128,10 +128,11 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("o")), F.struct(F.col("b").alias("id"), F.col("a").alias("o")))).alias("e"), "c")
         best = ends.groupBy("e.id").agg(F.max(F.struct("c", (-F.col("e.o")).alias("o"))).alias("m"))
         other = -F.col("m.o")
-        found = add(found, best.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b")).distinct())
+        tried = materialize(best.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b")).distinct())
+        found = add(found, tried)
         labels = components(found)
         ca, cb = (labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")) for side in "ab")
-        placed = pairs.join(ca, "a", "left").join(cb, "b", "left")
+        placed = pairs.join(tried, ["a", "b"], "left_anti").join(ca, "a", "left").join(cb, "b", "left")
         return add(found, placed.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
     pairs = materialize(candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")) if narrow is None else counted())

@@ -133,6 +133,24 @@ def test_rests_of_lines():
     assert D.trimmed("", "q") == ("", "q")
 
 
+def test_within_equals_the_distance():
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            old, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                old, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, old + (x != y))
+        return row[-1]
+
+    rnd = random.Random(8)
+    for _ in range(400):
+        a, b = ("".join(rnd.choice("abc") for _ in range(rnd.randrange(0, 90))) for _ in "ab")
+        if rnd.random() < 0.5:
+            b = a[:20] + rnd.choice(["", "b", "cab"]) + a[25:]
+        d = distance(a, b)
+        assert D.within(a, b, d) and not (d and D.within(a, b, d - 1))
+
+
 def test_pigeonhole():
     rnd = random.Random(3)
     sims = np.array([rnd.getrandbits(64) for _ in range(300)], dtype=np.uint64)
