@@ -38,14 +38,15 @@ Narrow = tuple[Callable[[str, str], Column], Callable[[Column, Column, Column],
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of all ids of ``links`` (a, b long): component is the
     smallest id reachable. Labels travel along links and jump to their label's
-    label; each round is a partial minimum by id, so a hub is no hot task."""
+    label; each round is a partial minimum by id, so a hub is no hot task. The
+    joins are merged: a broadcast in every round would pass through the driver."""
     edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = materialize(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
     while True:
-        heard = edges.join(labels, edges.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("heard"))
-        merged = labels.join(heard, "id").select("id", F.least("component", "heard").alias("component"), F.col("component").alias("old"))
+        heard = edges.join(labels.hint("merge"), edges.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("heard"))
+        merged = labels.join(heard.hint("merge"), "id").select("id", F.least("component", "heard").alias("component"), F.col("component").alias("old"))
         up = labels.select(F.col("id").alias("up_id"), F.col("component").alias("up"))
-        jumped = merged.join(up, F.col("component") == F.col("up_id"), "left")
+        jumped = merged.join(up.hint("merge"), F.col("component") == F.col("up_id"), "left")
         least = F.least("component", F.coalesce("up", "component"))
         new = materialize(jumped.select("id", least.alias("component"), (least != F.col("old")).alias("changed")))
         changed = new.where("changed").limit(1).count()
