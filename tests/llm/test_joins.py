@@ -224,3 +224,37 @@ def test_line_tables(docs_of):
     assert out == {3: (f"{same}\nshort line", 3, 1), 4: ("", 1, 0), 5: ("", 1, 1), 6: ("new", 2, 1), None: (None, 0, 0), 7: ("p 1 of 20 in all", 1, 0), 8: ("", 1, 1)}
     assert D.dedup_lines(docs_of([])).count() == 0
     assert D.dedup_lines(docs_of(rows)).columns == [*docs_of([]).columns, "n_lines", "n_dropped"]
+
+
+#: By letters of a line: the least share found of all pairs with the edit
+#: similarity when copies have one other word, or one other letter if the word
+#: is too much (README has the shares on sf0.1).
+RECALL = ((5, 20, 0.35), (20, 50, 0.2), (50, 100, 0.35), (100, 200, 0.6), (200, 4096, 0.88))
+
+
+def test_recall_against_all_pairs_by_edit_similarity():
+    pq = pytest.importorskip("pyarrow.parquet")
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    lines = sorted({" ".join(w) for t in texts for _, u in D.units(t or "") if (w := D.normalised(u))})
+    rnd = random.Random(9)
+    rnd.shuffle(lines)
+    words = sorted({w for x in lines[:500] for w in x.split()})
+    for lo, hi, least in RECALL:
+        some = [x for x in lines if lo <= len(x) < hi][:70]
+        for x in list(some):
+            w = x.split()
+            w[rnd.randrange(len(w))] = rnd.choice(words)
+            y = " ".join(w)
+            if not D.within(x, y, int((1 - D.SIMILARITY) * max(len(x), len(y)) + 1e-9)):
+                k = rnd.randrange(len(x))
+                y = x[:k] + rnd.choice("aeiou") + x[k + 1 :]
+            some.append(y)
+        sims = D.simhashes([x.split() for x in some])
+        hits = pairs = 0
+        for (x, p), (y, q) in itertools.combinations(zip(some, sims), 2):
+            limit = int((1 - D.SIMILARITY) * max(len(x), len(y)) + 1e-9)
+            if x != y and abs(len(x) - len(y)) <= limit and D.within(*D.trimmed(x, y), limit):
+                pairs += 1
+                hits += bin(int(p) ^ int(q)).count("1") <= D.DISTANCE
+        print(f"{lo}-{hi} letters: {hits} of {pairs} pairs")
+        assert pairs >= 20 and hits >= least * pairs
