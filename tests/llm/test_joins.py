@@ -258,3 +258,12 @@ def test_recall_against_all_pairs_by_edit_similarity():
                 hits += bin(int(p) ^ int(q)).count("1") <= D.DISTANCE
         print(f"{lo}-{hi} letters: {hits} of {pairs} pairs")
         assert pairs >= 20 and hits >= least * pairs
+
+
+def test_short_lines_and_lines_without_spaces(docs_of):
+    rnd = random.Random(4)
+    plain = "".join(chr(0x4E00 + rnd.randrange(900)) for _ in range(300))
+    other = plain[:150] + "\u3042" + plain[151:]
+    rows = [(1, f"All rights reserved.\n{plain}\nab"), (2, "x\nall  rights reserved."), (3, f"{other}\nac\n \n"), (4, f"{plain}\nAB\n \nkept"), (5, "7"), (6, "8")]
+    out = {r.doc_id: (r.text, r.n_dropped) for r in D.dedup_lines(docs_of(rows)).collect()}
+    assert out == {1: (rows[0][1], 0), 2: ("x", 1), 3: ("ac\n \n", 1), 4: (" \nkept", 2), 5: ("7", 0), 6: ("", 1)}
