@@ -3,10 +3,12 @@
 Patterns find candidates; what looks like encoded data is decoded and parsed
 before it is reported:
 
-* ``pem``: a private key block whose body decodes and parses;
-* ``key``: base64 or hex that decodes to a private key: DER (PKCS 1, PKCS 8,
-  encrypted PKCS 8, SEC 1) or the OpenSSH container, every nested length
-  filling its container exactly;
+* ``pem``: a private key block whose body decodes and parses, from the nearest
+  BEGIN line;
+* ``key``: base64 (also over several lines) or hex that decodes to a private key:
+  DER (PKCS 1, PKCS 8, encrypted PKCS 8, SEC 1) or the OpenSSH container, every
+  nested length filling its container exactly; or base64 of a text that holds a
+  ``pem`` (the body of a ``pem`` is a ``key`` as well);
 * ``jwt``: a signed token: the header decodes to JSON that names an algorithm,
   the claims decode to JSON, and the signature has the length of the algorithm.
 
@@ -46,9 +48,14 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "pem", "key", "jwt")
 
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
-#: DER of a sequence starts with 0x30, the OpenSSH container with its name.
-KEY_TEXT = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/_-]{39,}|b3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/_-]{20,})={0,2}")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:(?!-----BEGIN ).)*?)-----END \1-----", re.DOTALL)
+#: DER of a sequence starts with 0x30, the OpenSSH container with its name, a PEM
+#: file with BEGIN; the first line of wrapped base64 has 16 letters at least.
+SSH_START, PEM_START = "b3BlbnNzaC1rZXktdjEA", "LS0tLS1CRUdJTi"
+KEY_TEXT = re.compile(rf"(?<![A-Za-z0-9+/_-])((?:M[A-Za-z0-9+/_-]{{15}}|{SSH_START}|{PEM_START})[A-Za-z0-9+/_-]*)(={{0,2}})")
+KEY_LEAST = 40
+#: The next line of wrapped base64; line feeds may be written as in JSON.
+NEXT_LINE = re.compile(r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*([A-Za-z0-9+/_-]+)(={0,2})")
 KEY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:30|6f70656e7373682d6b65792d7631)(?:[0-9A-Fa-f]{2}){30,}(?![0-9A-Fa-f])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[A-Za-z0-9_-]{9,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{16,})")
 
@@ -107,9 +114,20 @@ def is_der_key(blob: bytes) -> bool:
     return len(tags) == 6 and set(tags) == {INTEGER} and items[1][2] - items[1][1] >= 32  # DSA
 
 
-def is_ssh_key(blob: bytes) -> bool:
+def der_size(blob: bytes) -> int | None:
+    """Bytes of the sequence that a DER text starts with, by its head alone."""
+    if len(blob) < 6 or blob[0] != SEQUENCE:
+        return None
+    width = blob[1] & 0x7F if blob[1] & 0x80 else 0
+    if width > 4 or blob[1] == 0x80:
+        return None
+    return 2 + width + (int.from_bytes(blob[2 : 2 + width], "big") if width else blob[1])
+
+
+def ssh_size(blob: bytes) -> int | None:
+    """Bytes of the OpenSSH container that a text starts with."""
     if not blob.startswith(SSH_NAME):
-        return False
+        return None
     at = len(SSH_NAME)
 
     def text() -> bytes | None:
@@ -124,12 +142,16 @@ def is_ssh_key(blob: bytes) -> bool:
 
     head = [text() for _ in range(3)]
     if None in head or not head[0] or at + 4 > len(blob):
-        return False
+        return None
     keys = int.from_bytes(blob[at : at + 4], "big")
     at += 4
     if not 1 <= keys <= 64 or any(not text() for _ in range(keys)):
-        return False
-    return bool(text()) and at == len(blob)
+        return None
+    return at if text() else None
+
+
+def is_ssh_key(blob: bytes) -> bool:
+    return ssh_size(blob) == len(blob)
 
 
 def is_key(blob: bytes | None) -> bool:
@@ -155,6 +177,45 @@ def is_pem_key(body: str) -> bool:
     return is_key(blob)
 
 
+def pem_size(blob: bytes) -> int | None:
+    """Bytes of a text up to the end of its last private key block."""
+    return max((m.end() for m in PEM.finditer(blob.decode("latin-1")) if is_pem_key(m[2])), default=None)
+
+
+def key_end(text: str, m: re.Match[str]) -> int | None:
+    """Where the key ends that starts as ``m``, on this line or on one of the next
+    lines of base64; the key tells its own length."""
+    run = m[1]
+    if run[0] == "M":
+        if len(run) + len(m[2]) >= KEY_LEAST and is_key(from_base64(m[0])):
+            return m.end()
+        size = der_size(from_base64(run[:8]) or b"")
+        most = None if size is None else (8 * size + 5) // 6
+        if most is None or most <= len(run):
+            return None
+    else:
+        most = None
+    parts, ends, length, last = [run], [(len(run), m.end())], len(run), m
+    while not last[last.lastindex] and (most is None or length < most):
+        last = NEXT_LINE.match(text, last.end())
+        if last is None or last[1].startswith((SSH_START, PEM_START)):
+            break
+        parts.append(last[1])
+        length += len(last[1])
+        ends.append((length, last.end()))
+    joined = "".join(parts)
+    if most is not None:
+        return ends[-1][1] if length == most >= KEY_LEAST and is_key(from_base64(joined)) else None
+    blob = from_base64(joined[: length - (length % 4 == 1)]) or b""
+    pem = run.startswith(PEM_START)
+    size = pem_size(blob) if pem else ssh_size(blob)
+    if size is None:
+        return None
+    # a line feed may follow the last line of a PEM file
+    most = (8 * size + 5) // 6
+    return next((end for n, end in ends if n == most or (pem and n > most)), None)
+
+
 def is_signed_token(header: str, claims: str, signature: str) -> bool:
     parts = [from_base64(x) for x in (header, claims, signature)]
     if None in parts:
@@ -189,9 +250,11 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     if "PRIVATE KEY-----" in text:
         out += [(m.start(), 3, m.end()) for m in PEM.finditer(text) if is_pem_key(m[2])]
+    at = 0
     for m in KEY_TEXT.finditer(text):
-        if is_key(from_base64(m[0])):
-            out.append((m.start(), 4, m.end()))
+        if m.start() >= at and (end := key_end(text, m)):
+            out.append((m.start(), 4, end))
+            at = end
     for m in KEY_HEX.finditer(text):
         if is_key(bytes.fromhex(m[0])):
             out.append((m.start(), 4, m.end()))
