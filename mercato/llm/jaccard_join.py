@@ -48,6 +48,7 @@ import xxhash
 from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.llm.common import Memo, id_and_text, materialize, shared_path
 from mercato.llm.links import Bloom, bloom, components, list_links
@@ -423,8 +424,36 @@ def jaccard_components(docs: DataFrame, light: int | None = None) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with all its columns, of each component the document with the
-    smallest doc_id; rows without id stay."""
-    labels = jaccard_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(labels, F.col(id_col) == F.col("dropped_id"), "left_anti")
+def _own_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with positional names c0, c1, ..., the id as ``of`` and the id of
+    the row's own set as ``own``."""
+    plain = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], F.col(id_col).cast("long").alias("of"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("own_text"))
+    schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in plain.schema.fields[:-1]], T.StructField("own", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = pa.array([set_id(shingle_set(t.as_py())) for t in b.columns[-1]], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], own], names=schema.names)
+
+    return plain.mapInArrow(run, schema)
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, of each component the rows with the
+    smallest doc_id. Rows without id stay. Of an id with unlike texts only the
+    rows go whose own text is a near copy; they are told by their sets, which are
+    built again for such ids only."""
+    rows, classes = jaccard_classes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    named = classes.withColumnRenamed("set_id", "of")
+    gone = (F.col("n") > 0) & (F.coalesce("component", "doc_id") != F.col("doc_id"))
+    found = rows.where("doc_id IS NOT NULL").join(named, F.col("set_id") == F.col("of"), "left").select("doc_id", "set_id", gone.alias("gone"))
+    by_id = found.groupBy("doc_id").agg(F.max("gone").alias("gone"), (F.min("gone") != F.max("gone")).alias("mixed"))
+    ids = materialize(by_id.where("gone").select(F.col("doc_id").alias("dropped_id"), "mixed"))
+    kept = docs.join(ids, F.col(id_col) == F.col("dropped_id"), "left_anti")
+    mixed = ids.where("mixed").select("dropped_id")
+    if mixed.isEmpty():
+        return kept
+    pairs = found.where("gone").select(F.col("doc_id").alias("gone_id"), F.col("set_id").alias("gone_set")).distinct()
+    own = _own_sets(docs.join(mixed, F.col(id_col) == F.col("dropped_id"), "left_semi"), id_col, text_col)
+    own = own.join(pairs, (F.col("of") == F.col("gone_id")) & (F.col("own") == F.col("gone_set")), "left_anti")
+    return kept.union(own.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]))

@@ -80,6 +80,14 @@ def test_join_tables(docs_of):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 1, 3] and kept.columns == docs_of([]).columns
 
 
+def test_unlike_rows_of_one_id_stay(docs_of):
+    same, unlike = "a b c d e f g h", "one two three four five six"
+    docs = docs_of([(1, same), (2, same), (2, unlike), (2, None), (3, unlike), (4, same), (4, same), (None, same)])
+    kept = J.drop_near_copies(docs)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, same), (2, unlike), (2, None), (None, same)], key=str)
+    assert kept.schema == docs.schema
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 160)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
