@@ -275,3 +275,14 @@ def test_short_lines_and_lines_without_spaces(docs_of):
     rows = [(1, f"All rights reserved.\n{plain}\nab"), (2, "x\nall  rights reserved."), (3, f"{other}\nac\n \n"), (4, f"{plain}\nAB\n \nkept"), (5, "7"), (6, "8")]
     out = {r.doc_id: (r.text, r.n_dropped) for r in D.dedup_lines(docs_of(rows)).collect()}
     assert out == {1: (rows[0][1], 0), 2: ("x", 1), 3: ("ac\n \n", 1), 4: (" \nkept", 2), 5: ("7", 0), 6: ("", 1)}
+
+
+def test_removed_lines_go_by_row(docs_of):
+    rows = [(None, f"first line of all here\nown line {'x' * k}\nsecond line that comes again") for k in range(0, 60, 3)] + [(7, "first line of all here\nother"), (7, "quite another text\nsecond line that comes again")]
+    docs = docs_of(rows)
+    gone = D.repeated_lines(docs.select("doc_id", "text"))
+    assert gone.groupBy("doc_id", "row").count().agg({"count": "max"}).first()[0] <= 3
+    out = D.dedup_lines(docs).collect()
+    assert sorted(r.text for r in out if r.doc_id == 7) == ["other", "quite another text"]
+    assert len(out) == len(rows) and all(r.n_dropped <= 3 for r in out)
+    assert sum("first line of all here" in r.text for r in out) == 20
