@@ -3,8 +3,9 @@
 DataFrame functions only. The features of a text come from one row: its words,
 the counts of characters, and the repetition figures. Repeated three-word
 windows are found without moving a row: the hash of each window is packed with
-its place into one long, the longs are sorted, and neighbours with one hash are
-a repetition.
+its place into one long, the longs are sorted, and neighbours with one hash and
+the same words are a repetition. A text in which two different windows share a
+hash is counted by the windows themselves, so the figures are exact.
 
 The rules are learned from labelled documents by sequential covering. A rule is
 a conjunction of thresholds; it grows by the condition with the best FOIL gain
@@ -14,6 +15,10 @@ it covers leave and the next rule is grown. Every step is one aggregation that
 counts all candidate conditions at once, so only counts reach the driver. The
 list is emitted as one ordered conditional expression.
 
+The figures of all rows are written once (some numbers a row); the labels are
+joined with them and the list is applied to them, so no text is shuffled and
+none is read twice.
+
 Defined results: null text has no words and fails the base rule; texts of any
 length are read whole; repeated rows and repeated or null ids give one row each;
 other columns are ignored; without usable labels the list is empty and the base
@@ -28,7 +33,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import WORD_BREAK, materialize
+from mercato.llm.common import WORD_BREAK, materialize, shared_path
 
 #: Fixed by the query's contract.
 LEAST_WORDS = 50
@@ -51,6 +56,16 @@ def _array(expr: str) -> Column:
     return F.expr(expr)
 
 
+WINDOW_HASH = "xxhash64({0}, {1})"
+#: Places of repeated windows by the windows themselves: words hold no space, so
+#: joined words tell windows apart.
+_WINDOWS = "sort_array(transform(sequence(0, size(w) - 3), i -> struct(array_join(slice(w, i + 1, 3), ' ') as t, cast(i as bigint) as i)))"
+_BY_WORDS = (
+    f"sort_array(flatten(transform(array({_WINDOWS}), x -> transform(filter(transform(x, (y, i) -> struct(y.i as i,"
+    " (i > 0 and element_at(x, greatest(i, 1)).t = y.t) or (i + 1 < size(x) and element_at(x, least(i + 2, size(x))).t = y.t) as again)), z -> z.again), z -> z.i))))"
+)
+
+
 def text_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and
     the character counts that the features need."""
@@ -75,16 +90,23 @@ def text_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         _array("filter(split(text, '\n'), x -> length(translate(x, '\t\x0b\x0c\r ', '')) > 0)").alias("lines"),
         # bits that the place of a window needs
         F.ceil(F.log2(F.size("w") + F.lit(2))).cast("int").alias("bits"),
-        _array("zip_with(zip_with(w, slice(w, 2, greatest(size(w) - 1, 0)), (a, b) -> xxhash64(a, b)), slice(w, 3, greatest(size(w) - 2, 0)), (h, c) -> if(c is null, null, xxhash64(h, c)))").alias("h"),
+        _array(f"zip_with(zip_with(w, slice(w, 2, greatest(size(w) - 1, 0)), (a, b) -> {WINDOW_HASH.format('a', 'b')}), slice(w, 3, greatest(size(w) - 2, 0)), (h, c) -> if(c is null, null, {WINDOW_HASH.format('h', 'c')}))").alias("h"),
+        "w",
     )
     step = step.withColumn("packed", _array("sort_array(array_compact(transform(h, (x, i) -> if(x is null, null, shiftleft(shiftrightunsigned(x, bits + 1), bits) + i))))"))
-    figures = [c for c in step.columns if c not in ("h", "packed", "lines")]
+    figures = [c for c in step.columns if c not in ("w", "h", "packed", "lines")]
+    words = "slice(w, cast(1 + ({0} & (shiftleft(1L, bits) - 1)) as int), 3)"
     step = step.select(
         *figures,
+        "w",
         F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         "packed",
-        _array("zip_with(packed, slice(packed, 2, greatest(size(packed) - 1, 0)), (a, b) -> shiftright(a, bits) = shiftright(b, bits))").alias("same"),
+        # of neighbours in hash order: 0 other hashes, 1 the same words, 2 a hash shared by different words
+        _array(
+            "zip_with(packed, slice(packed, 2, greatest(size(packed) - 1, 0)), (a, b) -> if(b is not null and shiftright(a, bits) = shiftright(b, bits),"
+            f" if({words.format('a')} = {words.format('b')}, 1, 2), 0))"
+        ).alias("same"),
     )
     # a window counts if it equals the one before it or behind it in hash order
     step = step.select(
@@ -92,8 +114,9 @@ def text_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "n_lines",
         "n_dup_lines",
         _array(
-            "if(array_contains(same, true), sort_array(array_compact(zip_with(packed, zip_with(same, concat(array(false), same),"
-            " (a, b) -> coalesce(a, false) or coalesce(b, false)), (p, s) -> if(s, p & (shiftleft(1L, bits) - 1), null)))), array())"
+            f"case when array_contains(same, 2) then {_BY_WORDS} when array_contains(same, 1) then"
+            " sort_array(array_compact(zip_with(packed, zip_with(same, concat(array(0), same),"
+            " (a, b) -> coalesce(a, 0) = 1 or coalesce(b, 0) = 1), (p, s) -> if(s, p & (shiftleft(1L, bits) - 1), null)))) else array() end"
         ).alias("at"),
     )
     # places ascend: each window adds the words up to the next one, three at most
@@ -274,13 +297,11 @@ def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     """One row per document: its figures, base_failed, kept and the rule that
     decided. ``labels`` has doc_id and quality (1 good, 0 bad); of several
     labels of a document the lower one counts."""
-    figures = with_features(text_figures(docs, id_col, text_col))
-    marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((1 - F.min("quality")).cast("int").alias("bad"))
-    known = docs.join(marks.withColumnRenamed("doc_id", "marked_id"), F.col(id_col).cast("long") == F.col("marked_id"))
-    known = known.select(F.col("marked_id").alias("doc_id"), F.col(text_col).cast("string").alias("text"), "bad")
-    learned = with_features(text_figures(known)).withColumnRenamed("doc_id", "figured_id")
-    # materialised before the filter, which would else be pushed into the arrays
-    learned = materialize(learned.join(marks, F.col("figured_id") == F.col("doc_id")).select("doc_id", "bad", "n_repeat_words", *FEATURES))
+    path = shared_path(docs.sparkSession, "figures")
+    text_figures(docs, id_col, text_col).write.parquet(path)
+    figures = with_features(docs.sparkSession.read.parquet(path))
+    marks = labels.groupBy(F.col("doc_id").cast("long").alias("marked_id")).agg((1 - F.min("quality")).cast("int").alias("bad"))
+    learned = materialize(figures.join(marks, F.col("doc_id") == F.col("marked_id")).select("doc_id", "bad", "n_repeat_words", *FEATURES))
     rules = learn_rules(learned.where(~base_failed()))
     return figures.select("*", F.coalesce(base_failed(), F.lit(False)).alias("base_failed"), verdict(rules).alias("rule")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("rule").isNull().alias("kept"), "rule"

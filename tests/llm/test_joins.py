@@ -5,37 +5,13 @@ import re
 
 import numpy as np
 import pytest
+from llm_brute import brute_components, brute_lines, brute_sets
 
 from mercato.llm import jaccard_join as J
 from mercato.llm import line_dedup as D
 from mercato.llm.links import bloom, components
 
 
-def brute_sets(rows):
-    out = {}
-    for i, t in rows:
-        low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-        w = re.findall(r"[^\x20\x09-\x0D]+", low)
-        out[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-    return out
-
-
-def brute_components(sets):
-    label = {i: i for i in sets}
-
-    def top(x):
-        while label[x] != x:
-            x = label[x]
-        return x
-
-    for a, b in itertools.combinations(sets, 2):
-        x, y = sets[a], sets[b]
-        if x and y and 100 * len(x & y) >= 80 * len(x | y):
-            p, q = top(a), top(b)
-            label[max(p, q)] = min(p, q)
-    return {i: top(i) for i in sets}
-
-
 def corpus(seed):
     rnd = random.Random(seed)
     words = [f"w{k}" for k in range(60)]
@@ -169,42 +145,6 @@ def test_pigeonhole():
     assert (D.block_tokens(sims) == D.block_tokens(flipped)).any(axis=1).all()
 
 
-def brute_lines(rows):
-    """Exact repeats and lines near by SimHash and edit distance, all pairs."""
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            old, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                old, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, old + (x != y))
-        return row[-1]
-
-    seen = {}
-    for i, t in rows:
-        for k, line in enumerate((t or "").split("\n")):
-            w = D.normalised(line)
-            if len(w) >= D.LEAST_WORDS:
-                seen.setdefault(" ".join(w), []).append((i, k))
-    keys = list(seen)
-    sims = D.simhashes([k.split() for k in keys]) if keys else []
-    label = list(range(len(keys)))
-
-    def top(x):
-        while label[x] != x:
-            x = label[x]
-        return x
-
-    for a, b in itertools.combinations(range(len(keys)), 2):
-        if bin(int(sims[a]) ^ int(sims[b])).count("1") <= D.DISTANCE and distance(keys[a], keys[b]) <= int((1 - D.SIMILARITY) * max(len(keys[a]), len(keys[b]))):
-            label[top(a)] = top(b)
-    groups = collections.defaultdict(list)
-    for k, key in enumerate(keys):
-        groups[top(k)] += seen[key]
-    gone = {p for g in groups.values() for p in g if p != min(g)}
-    return {i: "\n".join(line for k, line in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
-
-
 def test_lines_equal_brute_force(docs_of):
     rnd = random.Random(5)
     words = [f"word{chr(97 + k)}" for k in range(26)]

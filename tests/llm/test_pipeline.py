@@ -1,5 +1,5 @@
 import pytest
-from test_joins import brute_components, brute_lines, brute_sets
+from llm_brute import brute_components, brute_lines, brute_sets
 
 import corpus_pipeline as C
 from mercato.llm import secret_scan as S

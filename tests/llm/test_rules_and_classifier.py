@@ -26,7 +26,9 @@ def brute_figures(t):
     return len(w), sum(map(len, w)), sum(t.count(x) for x in R.SYMBOLS), len(lines) - len(set(lines)), sum(hit)
 
 
-def test_figures_equal_brute_force(docs_of):
+@pytest.mark.parametrize("hashed", [R.WINDOW_HASH, "pmod(xxhash64({0}, {1}), 3L)"])
+def test_figures_equal_brute_force(docs_of, monkeypatch, hashed):
+    monkeypatch.setattr(R, "WINDOW_HASH", hashed)  # the second one lets all windows of a text share a hash
     rnd = random.Random(1)
     rows = [(i, "".join(rnd.choice(["a ", "b ", "é$ ", "\n", "\t", "a b a\n", "\x0b", "x|y ", " "]) for _ in range(rnd.randrange(0, 60)))) for i in range(150)]
     rows += [(200, None), (201, ""), (202, "a " * 5000), (203, "\n\n"), (204, "a b"), (204, "a b")]
@@ -52,6 +54,29 @@ def test_rules_are_learned_and_keep_clean_rows(spark):
     assert R.learn_rules(df.where("false"), ("a", "b")) == []
 
 
+def test_verdicts_equal_a_plain_reading_of_the_list(docs_of, spark):
+    """``rule`` and ``kept`` from brute-force figures and the learned conditions, row by row."""
+    rnd = random.Random(6)
+    rows = [(i, " ".join((f"buy{rnd.randrange(400)}" + rnd.choice(["!!", "|", "##"]) if i % 3 == 0 else f"word{rnd.randrange(400)}") for _ in range(rnd.randrange(45, 90)))) for i in range(240)] + [(None, "w"), (7, None)]
+    labels = spark.createDataFrame([(i, int(i % 3 != 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs = docs_of(rows)
+    figures = R.with_features(R.text_figures(docs))
+    rules = R.learn_rules(figures.join(labels.withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of")).withColumn("bad", 1 - F.col("quality")).where(~R.base_failed()))
+    assert rules
+
+    def plain(r):
+        n, chars, _, _, again = brute_figures(r.text)
+        if n < 50 or 100 * again > 50 * n:
+            return 0
+        shares = {"word_length": chars / n, "bang_share": r.text.count("!") / chars, "bar_share": r.text.count("|") / chars, "symbol_share": sum(r.text.count(x) for x in R.SYMBOLS) / chars, "n_words": n, "repeat_share": again / n, "line_words": n, "dup_line_share": 0.0, "upper_share": 0.0, "digit_share": sum(map(str.isdigit, r.text)) / chars}
+        return next((i for i, rule in enumerate(rules, 1) if all((shares[c.feature] > c.threshold) == c.above for c in rule)), None)
+
+    got = R.apply_rules(docs, labels).collect()
+    want = collections.Counter((r.doc_id, plain(r)) for r in docs.collect())
+    assert collections.Counter((r.doc_id, r.rule) for r in got) == want
+    assert all(r.kept == (r.rule is None) for r in got)
+
+
 def test_rule_tables(docs_of, spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 0, 0), (9, None, 0)], "doc_id long, quality int, toxic int")
     rows = [(1, "w " * 20), (2, " ".join(f"w{k}" for k in range(80))), (None, None), (2, "")]
@@ -61,6 +86,8 @@ def test_rule_tables(docs_of, spark):
     assert all(r.base_failed and not r.kept for r in got if r.n_words < 50)
     assert R.apply_rules(docs_of([]), labels).count() == 0
     assert R.apply_rules(docs_of(rows), labels.where("false")).count() == 4
+    clash = docs_of(rows).withColumnRenamed("key", "bad").withColumnRenamed("n", "n_words").withColumnRenamed("component", "rule")
+    assert R.apply_rules(clash, labels).count() == 4
 
 
 def tables(spark):
