@@ -26,4 +26,6 @@ def spark():
     yield s
 
 
-SF_SMALL = "/root/testdata/sf0.001"
+@pytest.fixture(scope="session")
+def sf_small():
+    return "/root/testdata/sf0.001"

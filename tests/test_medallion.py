@@ -1,13 +1,11 @@
 import tempfile
 
-from conftest import SF_SMALL
-
 from mercato.plans.medallion import build
 
 
-def test_medallion_build_writes_every_layer(spark):
+def test_medallion_build_writes_every_layer(spark, sf_small):
     wh = tempfile.mkdtemp(prefix="mercato-wh-")
-    out = build(spark, SF_SMALL, wh, as_of="2024-02-01 00:00:00")
+    out = build(spark, sf_small, wh, as_of="2024-02-01 00:00:00")
     counts = {n: df.count() for n, df in out.items()}
     assert counts["user_features"] > 0 and counts["item_features"] > 0
     assert counts["training_dataset"] == counts["user_item_features"]
