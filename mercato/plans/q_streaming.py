@@ -17,6 +17,7 @@ from mercato.plans.registry import R, finish, register
 from mercato.session import scratch_dir
 from mercato.sources import tables as T
 from mercato.streaming import ingest as S
+from mercato.streaming import progress as P
 
 CLICK_SCHEMA = StructType(
     [
@@ -28,28 +29,44 @@ CLICK_SCHEMA = StructType(
         StructField("value", DoubleType()),
     ]
 )
-# Rows of a landed file, and files of a micro-batch.
-ROWS_PER_FILE = 500
-FILES_PER_TRIGGER = 5
-# Micro-batches of the count check: more than a query's progress keeps.
+# Landed files are of this size at most (a click is some 80 bytes of text); a run
+# takes them in a bounded number of micro-batches.
+FILE_BYTES, CLICK_BYTES = 128 << 20, 80
+LEAST_FILES, MOST_BATCHES = 8, 8
+# Micro-batches of the progress checks: more than a query's progress keeps.
 MANY_BATCHES = 104
+# Files of a micro-batch of the redelivered days, and how late a click may come.
+FILES_OF_DAYS = 8
+LATE = "8 days"
 
+# Shared by the queries of a session: read-only folders by (application, tables).
+_LANDED: dict[tuple[str, str], tuple[str, int]] = {}
+_MANY: dict[tuple[str, str], tuple[str, str]] = {}
 
-def land(spark, clicks, folder: str, files: int | None = None) -> None:
-    """The click stream as CSV files, as many as its size asks for."""
-    if files is None:
-        files = max(1, clicks.count() // ROWS_PER_FILE)
-    S.drop_files(clicks, folder, min(files, 10_000), "event_id")
+
+def files_of(rows: int) -> int:
+    return max(LEAST_FILES, -(-rows * CLICK_BYTES // FILE_BYTES))
+
+
+def landed(spark, sf_dir) -> tuple[str, int]:
+    """(folder, files of a micro-batch) of the click stream as CSV files, landed
+    once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        clicks = T.clickstream(spark, sf_dir)
+        files = files_of(clicks.count())
+        _LANDED[key] = S.drop_files(clicks, f"{scratch_dir(spark, 'landing')}/clicks", files, "event_id"), -(-files // MOST_BATCHES)
+    return _LANDED[key]
 
 
 def run_stream(spark, sf_dir, runs: int = 1, fail_last: bool = False):
-    """Drop the click stream as files, ingest it ``runs`` times with one
-    checkpoint (later runs find nothing new), logging every run. With
+    """Ingest the landed click stream ``runs`` times with one checkpoint (later
+    runs find nothing new), logging every run. With
     ``fail_last`` one more run points at a missing folder and is logged as
     FAILED. Returns (table path, run-log path, per-run row counts)."""
     base = scratch_dir(spark, "stream")
-    src, table, ckpt, log_path = f"{base}/landing", f"{base}/bronze", f"{base}/_checkpoint", f"{base}/run_log"
-    land(spark, T.clickstream(spark, sf_dir), src)
+    src, per_trigger = landed(spark, sf_dir)
+    table, ckpt, log_path = f"{base}/bronze", f"{base}/_checkpoint", f"{base}/run_log"
     counts, total = [], 0
 
     def note(run: int, status: str, began=None, records: int = 0, tables=(), error: Exception | None = None):
@@ -60,7 +77,7 @@ def run_stream(spark, sf_dir, runs: int = 1, fail_last: bool = False):
 
     for i in range(1, runs + 1):
         began = note(i, "RUNNING")
-        S.ingest_available(S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, FILES_PER_TRIGGER)), table, ckpt)
+        S.ingest_available(S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, per_trigger)), table, ckpt)
         before, total = total, S.table_rows(spark, table, CLICK_SCHEMA)
         counts.append(total - before)
         note(i, "SUCCESS", began, total - before, ["user_interaction_logs"])
@@ -134,13 +151,50 @@ def q_stream_event_counts(spark, sf_dir):
 )
 def q_stream_progress(spark, sf_dir):
     """Exact record counts of a run of many micro-batches (one file each)."""
-    base = scratch_dir(spark, "stream")
-    src, path = f"{base}/landing", f"{base}/bronze"
-    land(spark, T.clickstream(spark, sf_dir), src, MANY_BATCHES)
-    S.ingest_available(S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, 1)), path, f"{base}/_checkpoint")
+    path, _ = many_batches(spark, sf_dir)
     table = spark.read.parquet(path)
     counts = S.batch_counts(table).agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("rows_over_batches"))
-    return counts.crossJoin(table.agg(F.count(F.lit(1)).alias("table_rows")))
+    return counts.withColumn("table_rows", table.select(F.count(F.lit(1))).scalar())
+
+
+def many_batches(spark, sf_dir) -> tuple[str, str]:
+    """(table, progress log) of a run with one micro-batch per remainder of the
+    event id, in order; run once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MANY:
+        _MANY[key] = _run_many(spark, sf_dir)
+    return _MANY[key]
+
+
+def _run_many(spark, sf_dir) -> tuple[str, str]:
+    base = scratch_dir(spark, "stream")
+    clicks = T.clickstream(spark, sf_dir).withColumn("part", (F.col("event_id") % MANY_BATCHES).cast("int"))
+    src = S.drop_parts(clicks, f"{base}/landing", "part", one_file_each=True)
+    table, log = f"{base}/bronze", f"{base}/progress"
+    with P.ProgressLog(spark, log, flush_rows=60) as listener:
+        run = S.ingest_available(S.enrich(S.file_stream(spark, src, CLICK_SCHEMA, 1)), table, f"{base}/_checkpoint", "clicks")
+        listener.wait(str(run.runId))
+    return table, log
+
+
+@register(
+    "stream_batch_progress",
+    with_views(
+        ["clicks"],
+        f"SELECT row_number() OVER (ORDER BY event_id % {MANY_BATCHES}) - 1 AS batch_id, count(*) AS rows, count(*) AS table_rows, "
+        f"TRUE AS rates_agree, TRUE AS has_input_rate FROM clicks GROUP BY event_id % {MANY_BATCHES}",
+    ),
+)
+def q_stream_batch_progress(spark, sf_dir):
+    """R4: what the listener logged for each micro-batch, against the rows that the
+    table holds of it."""
+    table, log = many_batches(spark, sf_dir)
+    progress = P.read_progress(spark, log)
+    held = S.batch_counts(spark.read.parquet(table)).select((F.col("batch") - 1).alias("held_batch"), F.col("rows").alias("table_rows"))
+    joined = progress.join(held, F.col("batch_id") == F.col("held_batch"), "full")
+    # the first batch of a run has no trigger before it to measure the input rate from
+    has_rate = (F.col("batch_id") == 0) | (F.col("input_rows_per_second") > 0)
+    return joined.select("batch_id", "rows", "table_rows", P.rates_agree().alias("rates_agree"), has_rate.alias("has_input_rate"))
 
 
 @register(
@@ -168,15 +222,14 @@ def q_run_log_latest(spark, sf_dir):
     ),
 )
 def q_stream_dedupe(spark, sf_dir):
-    """Every event is delivered twice (two drops of the same files); the
-    watermarked dedupe on ``event_id`` lets one copy through."""
+    """Every event is delivered twice, the second time behind the other events of
+    its day; the watermarked dedupe on ``event_id`` lets one copy through."""
     base = scratch_dir(spark, "stream")
-    src, table, ckpt = f"{base}/landing", f"{base}/bronze", f"{base}/_checkpoint"
     clicks = T.clickstream(spark, sf_dir)
-    land(spark, clicks, src)
-    land(spark, clicks, src)
-    stream = S.dedupe_within_watermark(
-        S.file_stream(spark, src, CLICK_SCHEMA, FILES_PER_TRIGGER), ["event_id"], "ts", "400 days"
-    )
-    S.ingest_available(stream, table, ckpt)
-    return finish(spark.read.parquet(table).select(*CLICK_SCHEMA.fieldNames()))
+    day = F.datediff(F.col("ts"), F.lit("1970-01-01").cast("date"))
+    twice = clicks.withColumn("part", 2 * day).unionByName(clicks.withColumn("part", 2 * day + 1))
+    first = twice.select(F.min("part")).first()[0] or 0
+    src = S.drop_parts(twice.withColumn("part", F.col("part") - first), f"{base}/landing", "part")
+    stream = S.dedupe_within_watermark(S.file_stream(spark, src, CLICK_SCHEMA, FILES_OF_DAYS), ["event_id"], "ts", LATE)
+    S.ingest_available(stream, f"{base}/bronze", f"{base}/_checkpoint")
+    return finish(spark.read.parquet(f"{base}/bronze").select(*CLICK_SCHEMA.fieldNames()))
