@@ -109,9 +109,11 @@ def first_attribute_per_user(
 def crosstab_long(
     clicks: DataFrame, user_attr: DataFrame, attr: str, event_col: str = "event_type", default: str = "Unknown"
 ) -> DataFrame:
-    """Events per (attribute, event type) with the row-normalised share."""
-    joined = clicks.select("user_id", event_col).join(user_attr, "user_id", "left").fillna({attr: default})
-    counts = joined.groupBy(attr, event_col).agg(F.count(F.lit(1)).alias("events"))
+    """Events per (attribute, event type) with the row-normalised share. Clicks are
+    counted by (user, event type) before the join, so a hot user is a few rows."""
+    per_user = clicks.groupBy("user_id", event_col).agg(F.count(F.lit(1)).alias("n"))
+    joined = per_user.join(user_attr, "user_id", "left").fillna({attr: default})
+    counts = joined.groupBy(attr, event_col).agg(F.sum("n").alias("events"))
     return counts.withColumn("share", F.col("events") / F.sum("events").over(Window.partitionBy(attr)))
 
 

@@ -1,17 +1,16 @@
 """Lineage of this engine's own pipeline as two tables, nodes and edges.
 
 One-hop upstream/downstream lists are grouped joins; the impact closure
-(all ancestors/descendants) is a recursive CTE evaluated by Spark, bounded
-by the node count (a DAG never needs more hops than it has nodes).
+(all ancestors/descendants) is a breadth-first fixpoint of joins.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.session import ensure_checkpoint_dir
+
 # Stage order of the report.
 STAGES = ["source", "bronze", "silver", "feature", "store", "quality"]
 
@@ -114,22 +113,26 @@ def one_hop(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(up, "node_id", "left").join(down, "node_id", "left")
 
 
-def closure(spark: SparkSession, edges: DataFrame, max_depth: int) -> DataFrame:
-    """(ancestor, descendant, hops) for every path, shortest hop count."""
-    view = f"lineage_edges_{uuid.uuid4().hex[:10]}"
-    edges.select("src", "dst").createOrReplaceTempView(view)
-    return spark.sql(
-        f"""
-        WITH RECURSIVE reach(ancestor, descendant, hops) AS (
-          SELECT src, dst, 1 FROM {view}
-          UNION ALL
-          SELECT r.ancestor, e.dst, r.hops + 1
-          FROM reach r JOIN {view} e ON r.descendant = e.src
-          WHERE r.hops < {int(max_depth)}
-        )
-        SELECT ancestor, descendant, min(hops) AS hops FROM reach GROUP BY ancestor, descendant
-        """
-    )
+def closure(spark: SparkSession, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(ancestor, descendant, hops) of all reachable pairs with the least hop count.
+
+    Breadth first: each step extends only the pairs that the last one found by
+    one edge, keeps every pair once and drops those that are known, so work
+    grows with the pairs and not with the paths, and cycles end. Steps are
+    written, one per hop of the longest shortest path."""
+    ensure_checkpoint_dir(spark)
+    step = edges.select(F.col("src").alias("via"), F.col("dst").alias("to")).distinct().checkpoint(eager=True)
+    newest = step.select(F.col("via").alias("ancestor"), F.col("to").alias("descendant"))
+    found = newest.withColumn("hops", F.lit(1))
+    hops = 1
+    while max_depth is None or hops < max_depth:
+        further = newest.join(step, F.col("descendant") == F.col("via")).select("ancestor", F.col("to").alias("descendant")).distinct()
+        newest = further.join(found.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti").checkpoint(eager=True)
+        if newest.isEmpty():
+            break
+        hops += 1
+        found = found.unionByName(newest.withColumn("hops", F.lit(hops)))
+    return found
 
 
 def stage_report(report: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ FROM cl LEFT JOIN nrows r ON cl.ancestor = r.node_id""",
     ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def q_lineage_impact(spark, sf_dir):
-    cl = LG.closure(spark, LG.edges_frame(spark), len(LG.NODES))
+    cl = LG.closure(spark, LG.edges_frame(spark))
     rows = node_rows(spark, sf_dir).withColumnRenamed("node_id", "ancestor").withColumnRenamed("rows", "ancestor_rows")
     return cl.join(rows, "ancestor", "left").select(
         "ancestor", "descendant", F.col("hops").cast("int").alias("hops"), "ancestor_rows"

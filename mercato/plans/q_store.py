@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mercato.functions.digests import multiset_digest_sql
 from mercato.plans import store as ST
 from mercato.plans.features import FEATURE_SOURCES
 from mercato.plans.oracle_views import with_views
@@ -204,7 +205,23 @@ def q_feature_coverage(spark, sf_dir):
     return finish(ST.feature_coverage(cat, fill))
 
 
-@register("feature_versions")
+def _versions_sql() -> str:
+    from mercato.operators.pairs import PAIR_COLUMNS
+    from mercato.plans.q_pairs import ORDER_PAIRS_SQL
+
+    sqls = {"user_features": _USER_SQL, "item_features": _ITEM_SQL, "user_item_features": _USER_ITEM_SQL}
+    kinds = {t: {c: "double" if _TYPE_NAMES[t].get(c) == "double" else "other" for c in cols} for t, cols in _SCHEMAS.items()}
+    sqls["co_purchase_pairs"] = ORDER_PAIRS_SQL
+    kinds["co_purchase_pairs"] = {c: "other" if c.startswith("item_") or c == "co_purchase_count" else "double" for c in PAIR_COLUMNS}
+    notes = {"co_purchase_pairs": "written, not versioned upstream"}
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{ST.DEFAULT_VERSION}' AS version, count(*) AS row_count, {multiset_digest_sql(kinds[t])} AS checksum, "
+        f"'{notes.get(t, '')}' AS notes, substring(md5('{t}_{ST.DEFAULT_VERSION}'), 1, 12) AS version_id FROM ({sql})"
+        for t, sql in sqls.items()
+    )
+
+
+@register("feature_versions", _versions_sql())
 def q_feature_versions(spark, sf_dir):
     parts = [ST.snapshot_version(df, t) for t, (df, _, _) in _tables(spark, sf_dir).items()]
     parts.append(ST.snapshot_version(_pairs(spark, sf_dir), "co_purchase_pairs", notes="written, not versioned upstream"))

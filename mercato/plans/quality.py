@@ -93,7 +93,7 @@ def scorecard(frames: dict[str, DataFrame], specs: dict[str, TableSpec]) -> Data
 
 
 def profile_all(frames: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
-    return union_all([P.column_profile(df, specs[n]) for n, df in frames.items()])
+    return P.profile_tables(frames, specs)
 
 
 def rules_all(frames: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from mercato.functions.columns import entity_key, short_id
+from mercato.functions.digests import multiset_digest
 
 # Default serving/training feature lists and feature sets.
 DEFAULT_USER_FEATURES = [
@@ -200,19 +201,12 @@ def feature_set_integrity(sets: DataFrame, catalogue: DataFrame, fill: DataFrame
 
 
 def snapshot_version(df: DataFrame, table: str, version: str = DEFAULT_VERSION, notes: str = "") -> DataFrame:
-    """Row count and an order-independent checksum of a feature table
-    (xor and sum of 64-bit row hashes; the sum also sees duplicate rows)."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.bit_xor(h).alias("checksum_xor"),
-        F.sum(h.cast("decimal(38,0)")).cast("string").alias("checksum_sum"),
-    ).select(
+    """Row count and the order-free checksum of a feature table (``multiset_digest``)."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"), multiset_digest(df).alias("checksum")).select(
         F.lit(table).alias("table_name"),
         F.lit(version).alias("version"),
         "row_count",
-        F.lower(F.hex(F.col("checksum_xor"))).alias("checksum"),
-        "checksum_sum",
+        "checksum",
         F.lit(notes).alias("notes"),
         short_id(F.lit(table), F.lit(version)).alias("version_id"),
     )
@@ -390,6 +384,26 @@ def delete_keys(old: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> Data
 # ---- point in time -----------------------------------------------------------------
 
 
+def spread_by_time(labels: DataFrame, snapshots: DataFrame, key: str, label_ts: str, snapshot_ts: str, value_cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Labels and snapshots as one table (_k, _t, _kind, _snap, _row) in range
+    partitions of (key, time), numbered in order by _p and pinned. Rows of one key
+    are cut by time, rows of one time by their hash, so partitions are alike
+    whatever the keys."""
+    from mercato.session import ensure_checkpoint_dir
+
+    snap = F.struct(F.col("_t").alias("snapshot_ts"), *[F.col(c) for c in value_cols])
+    s = snapshots.where(F.col(key).isNotNull() & F.col(snapshot_ts).isNotNull())
+    s = s.select(F.col(key).alias("_k"), F.col(snapshot_ts).alias("_t"), *[F.col(c) for c in value_cols]).select("_k", "_t", snap.alias("_snap"))
+    own = labels.select(F.col(key).alias("_k"), F.col(label_ts).alias("_t"), F.struct(*[F.col(c) for c in labels.columns]).alias("_row"))
+    s = s.select("_k", "_t", F.lit(0).alias("_kind"), "_snap", F.lit(None).cast(own.schema["_row"].dataType).alias("_row"))
+    own = own.select("_k", "_t", F.lit(1).alias("_kind"), F.lit(None).cast(s.schema["_snap"].dataType).alias("_snap"), "_row")
+    ensure_checkpoint_dir(labels.sparkSession)
+    events = s.unionByName(own)
+    order = ["_k", "_t", "_kind", F.xxhash64("_snap", "_row")]
+    ranged = events.repartitionByRange(partitions, *order) if partitions else events.repartitionByRange(*order)
+    return ranged.withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
+
+
 def as_of_join(
     labels: DataFrame,
     snapshots: DataFrame,
@@ -397,60 +411,27 @@ def as_of_join(
     label_ts: str,
     snapshot_ts: str,
     value_cols: Sequence[str],
-    bucket_seconds: int = 86400,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Attach to each label row the latest snapshot with
-    ``snapshot_ts <= label_ts`` for the same key (NULLs when none).
-
-    Skew-safe: rows are split into (key, time bucket) groups, so a hot key
-    is spread over its buckets. Inside a bucket a running ``last`` over the
-    union of labels and snapshots finds the latest earlier snapshot; labels
-    with none in their own bucket take the last snapshot of an earlier
-    bucket, found by the same running ``last`` over one summary row per
-    (key, bucket).
+    ``snapshot_ts <= label_ts`` for the same key (NULLs when none); of several
+    at that time the one with the largest values.
+
+    Skew-safe: labels and snapshots are range-partitioned by (key, time), a hot
+    key like any other. Within a partition a running ``last`` finds the latest
+    snapshot; what a partition ends with is carried on to the next ones of the
+    key, by the same running ``last`` over one summary row per (key, partition).
     """
     from pyspark.sql import Window
 
-    b = F.floor(F.unix_timestamp(F.col("_t").cast("timestamp")) / bucket_seconds)
-    snap_struct = F.struct(F.col("_t").alias("snapshot_ts"), *[F.col(c) for c in value_cols])
-    row_struct = F.struct(*[F.col(c) for c in labels.columns])
-    s = (
-        snapshots.where(F.col(key).isNotNull())
-        .select(F.col(key), F.col(snapshot_ts).alias("_t"), *[F.col(c) for c in value_cols])
-        .withColumn("_b", b)
-    )
-    lab = labels.withColumn("_row", row_struct).withColumn("_t", F.col(label_ts)).select(key, "_t", "_row")
-    snap_type = s.select(snap_struct.alias("x")).schema["x"].dataType
-    row_type = lab.schema["_row"].dataType
-    # 1) inside each (key, bucket); snapshots sort before labels at equal time
-    ev_s = s.select(
-        key, "_b", "_t", F.lit(0).alias("_kind"), snap_struct.alias("_snap"), F.lit(None).cast(row_type).alias("_row")
-    )
-    ev_l = lab.select(
-        key, b.alias("_b"), "_t", F.lit(1).alias("_kind"), F.lit(None).cast(snap_type).alias("_snap"), "_row"
-    )
-    w = Window.partitionBy(key, "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (
-        ev_s.unionByName(ev_l)
-        .withColumn("_in", F.last("_snap", ignorenulls=True).over(w))
-        .where(F.col("_kind") == 1)
-        .select(key, "_b", "_row", "_in")
-    )
-    # 2) strictly earlier buckets: one summary row per (key, bucket); a
-    # label bucket sorts before the snapshot summary of the same bucket
-    per_bucket = s.groupBy(key, "_b").agg(F.max_by(snap_struct, F.col("_t")).alias("_snap"))
-    lab_buckets = inside.select(key, "_b").distinct()
-    wb = Window.partitionBy(key).orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, -1)
-    summary = per_bucket.select(key, "_b", F.lit(0).alias("_kind"), "_snap").unionByName(
-        lab_buckets.select(key, "_b", F.lit(-1).alias("_kind"), F.lit(None).cast(snap_type).alias("_snap"))
-    )
-    before = (
-        summary.withColumn("_prev", F.last("_snap", ignorenulls=True).over(wb))
-        .where(F.col("_kind") == -1)
-        .select(key, "_b", "_prev")
-    )
+    events = spread_by_time(labels, snapshots, key, label_ts, snapshot_ts, value_cols, partitions)
+    w = Window.partitionBy("_p", "_k").orderBy("_t", "_kind", "_snap").rowsBetween(Window.unboundedPreceding, 0)
+    inside = events.withColumn("_in", F.last("_snap", ignorenulls=True).over(w)).where(F.col("_kind") == 1).select("_p", "_k", "_row", "_in")
+    ends = events.groupBy("_k", "_p").agg(F.max("_snap").alias("_end"))
+    wp = Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_prev", F.last("_end", ignorenulls=True).over(wp)).select(F.col("_p").alias("_q"), F.col("_k").alias("_of"), "_prev")
     m = F.coalesce("_in", "_prev")
-    return inside.join(before, [key, "_b"], "left").select(
+    return inside.join(carried, (F.col("_p") == F.col("_q")) & F.col("_k").eqNullSafe(F.col("_of")), "left").select(
         *[F.col(f"_row.{c}").alias(c) for c in labels.columns],
         m.getField("snapshot_ts").alias("snapshot_ts"),
         *[m.getField(c).alias(c) for c in value_cols],
