@@ -16,6 +16,10 @@ _MODULES = [
     "mercato.plans.q_streaming",
     "mercato.plans.q_lineage",
     "mercato.plans.q_extras",
+    "mercato.plans.q_tables",
+    "mercato.plans.q_bronze",
+    "mercato.plans.q_dirty",
+    "mercato.plans.q_serving",
 ]
 
 

@@ -11,6 +11,7 @@ from mercato.plans.oracle_views import with_views
 from mercato.sources import files as L
 from mercato.sources import tables as T
 from mercato.plans.registry import register
+from mercato.session import scratch_dir
 
 _COUNTED = ["events", "lineitem", "orders", "customer", "part", "clickstream", "purchases", "catalog", "signals"]
 
@@ -123,3 +124,29 @@ def q_lineage_assets(spark, sf_dir):
     assets = spark.createDataFrame([(n, f"{base}/{n}.parquet") for n in names] + [("missing", f"{base}/missing.parquet")], "node_id string, path string")
     fp = L.asset_fingerprints(spark, assets, base)
     return assets.join(fp, "path", "left").select("node_id", "path", "checksum", "size_kb")
+
+
+_EXPORTS = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"]}
+
+
+def _asset_sql() -> str:
+    parts = []
+    for t, cols in _EXPORTS.items():
+        line = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in cols) + " || chr(10)"
+        text = f"string_agg({line}, '' ORDER BY {cols[0]})"
+        parts.append(f"SELECT '{t}' AS node_id, md5({text}) AS checksum, round(strlen({text}) / 1024.0, 1) AS size_kb FROM {t}")
+    return "\nUNION ALL\n".join([*parts, "SELECT 'missing', 'FILE_NOT_FOUND', 0.0"])
+
+
+@register("lineage_asset_exports", _asset_sql())
+def q_lineage_asset_exports(spark, sf_dir):
+    """Fingerprints of the dimension tables' exports (one file each: they are of
+    fixed size), beside files that are no asset."""
+    base = scratch_dir(spark, "assets")
+    for t, cols in _EXPORTS.items():
+        line = F.concat_ws(",", *[F.col(c).cast("string") for c in cols])
+        T.table(spark, sf_dir, t).select(cols[0], line.alias("line")).coalesce(1).sortWithinPartitions(cols[0]).select("line").write.text(f"{base}/{t}")
+    T.table(spark, sf_dir, "region").write.parquet(f"{base}/other")
+    assets = spark.createDataFrame([(n, f"{base}/{n}") for n in [*_EXPORTS, "missing"]], "node_id string, path string")
+    plain = assets.withColumn("path", F.regexp_replace("path", "^file:", ""))
+    return plain.join(L.asset_fingerprints(spark, assets, base), "path").select("node_id", "checksum", "size_kb")

@@ -143,15 +143,33 @@ def q_latest_file(spark, sf_dir):
     return L.latest_versions(L.list_landing(spark, base)).select("prefix", "extension", "latest_version", "versions")
 
 
-@register("version_retention")
+V0 = _dt.datetime(2024, 1, 30, 0, 0, 0)
+
+
+def _key_versions(spark, sf_dir):
+    """Three versions of the purchase keys without a header: every third order, every
+    second one, all."""
+    base = scratch_dir(spark, "landing")
+    keys = T.purchases(spark, sf_dir).select("order_id", "line_number", "item_id")
+    for at, n in ((V0, 3), (V1, 2), (V2, 1)):
+        L.write_landing_csv(keys.where(F.col("order_id") % n == 0), base, "purchase_keys", at, header=False)
+    return L.list_landing(spark, base)
+
+
+def _versions_sql(columns: str) -> str:
+    size = "sum(length(CAST(order_id AS VARCHAR)) + length(CAST(line_number AS VARCHAR)) + length(CAST(item_id AS VARCHAR)) + 3)"
+    parts = [
+        f"SELECT '{L.version_name('purchase_keys', at, 'csv')}' AS version, CAST({rank} AS INTEGER) AS rank, coalesce({size}, 0) AS bytes FROM purch WHERE order_id % {n} = 0"
+        for at, n, rank in ((V0, 3, 3), (V1, 2, 2), (V2, 1, 1))
+    ]
+    return with_views(["purch"], "v AS (" + "\nUNION ALL\n".join(parts) + f")\nSELECT {columns} FROM v")
+
+
+@register("version_retention", _versions_sql("'purchase_keys' AS prefix, 'csv' AS extension, version, rank, rank > 2 AS expired, CAST(bytes AS BIGINT) AS bytes"))
 def q_version_retention(spark, sf_dir):
-    base, _ = _landing(spark, sf_dir, with_json=True)
-    return L.version_retention(L.list_landing(spark, base), keep=1).select(
-        "prefix", "extension", "version", "rank", "expired", "parts"
-    )
+    return L.version_retention(_key_versions(spark, sf_dir), keep=2).select("prefix", "extension", "version", "rank", "expired", "bytes")
 
 
-@register("landing_inventory")
+@register("landing_inventory", _versions_sql("'csv' AS extension, rank, version, round(bytes / 1024.0, 1) AS size_kb, rank = 1 AS is_latest"))
 def q_landing_inventory(spark, sf_dir):
-    base, _ = _landing(spark, sf_dir, with_json=True)
-    return L.landing_inventory(L.list_landing(spark, base))
+    return L.landing_inventory(_key_versions(spark, sf_dir))

@@ -23,9 +23,9 @@ def version_name(prefix: str, ts: _dt.datetime, ext: str) -> str:
     return f"{prefix}_{ts.strftime(VERSION_FORMAT)}.{ext}"
 
 
-def write_landing_csv(df: DataFrame, base: str, prefix: str, ts: _dt.datetime) -> str:
+def write_landing_csv(df: DataFrame, base: str, prefix: str, ts: _dt.datetime, header: bool = True) -> str:
     path = f"{base.rstrip('/')}/{version_name(prefix, ts, 'csv')}"
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    df.write.mode("errorifexists").option("header", header).csv(path)
     return path
 
 
@@ -37,9 +37,11 @@ def write_landing_json_envelope(
     key: str,
     rows_per_envelope: int = 50_000,
     data_field: str = "data",
+    multiline: bool = False,
 ) -> str:
     """Write ``df`` as API-style envelopes ``{status, timestamp, count,
-    data: [...]}``, one JSON document per line. Rows are spread over
+    data: [...]}``, one JSON document per line, or with ``multiline`` one document
+    of many lines per file. Rows are spread over
     ``ceil(rows / rows_per_envelope)`` envelopes by their position (not by
     ``key``, which may be skewed or repeated), so every envelope holds about
     ``rows_per_envelope`` rows and no task has to hold a large group."""
@@ -58,7 +60,11 @@ def write_landing_json_envelope(
             F.col(data_field),
         )
     )
-    env.write.mode("errorifexists").json(path)
+    if multiline:
+        pretty = env.select(F.to_json(F.struct(*env.columns), {"pretty": "true"}).alias("value"))
+        pretty.write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
+    else:
+        env.write.mode("errorifexists").json(path)
     return path
 
 
@@ -232,20 +238,26 @@ def asset_fingerprints(spark: SparkSession, assets: DataFrame, base: str, path_c
     """MD5 and size (KB, 1 place) of each asset path under ``base``; a
     missing asset gives ``FILE_NOT_FOUND`` and 0. A folder asset (a Spark
     output) is fingerprinted from its part files: md5 of the sorted part
-    digests. Files are matched to assets by two equi-joins (the file path
-    itself, or its parent folder), never by a prefix scan."""
-    files = (
+    digests. The listing under ``base`` reads no content; files are matched to
+    assets by two equi-joins (the file path itself, or its parent folder), never
+    by a prefix scan, and only files of assets are opened. ``assets`` is a
+    list of names: its matched files are collected to be opened."""
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(base)
-        .select(F.regexp_replace("path", "^file:", "").alias("file"), "length", F.md5("content").alias("md5"))
+        .select("path", F.regexp_replace("path", "^file:", "").alias("file"), "length")
         .withColumn("parent", F.regexp_extract("file", r"^(.*)/[^/]+$", 1))
     )
     a = assets.select(F.regexp_replace(F.col(path_col), "^file:", "").alias("asset")).distinct()
-    by_file = a.join(files, a.asset == files.file).select("asset", "length", "md5")
-    by_folder = a.join(files, a.asset == files.parent).select("asset", "length", "md5")
-    matched = by_file.unionByName(by_folder)
-    agg = matched.groupBy("asset").agg(
+    matched = a.join(listed, a.asset == listed.file).select("asset", "path", "length")
+    matched = matched.unionByName(a.join(listed, a.asset == listed.parent).select("asset", "path", "length"))
+    paths = [r.path for r in matched.select("path").distinct().collect()]
+    if paths:
+        content = spark.read.format("binaryFile").load(paths).select("path", F.md5("content").alias("md5"))
+    else:
+        content = spark.createDataFrame([], "path string, md5 string")
+    agg = matched.join(content, "path").groupBy("asset").agg(
         F.array_sort(F.collect_list("md5")).alias("_parts"),
         F.sum("length").alias("_bytes"),
     )

@@ -4,8 +4,8 @@ documents, literal frames and typed previews.
 
 Tables are parquet (the reference writes Delta, which is not installed
 here). Additive schema evolution uses parquet's per-file schemas merged
-at read time; a snapshot overwrite goes through a staging table and a
-rename, because a table cannot be overwritten while it is being read.
+at read time; a table that is replaced while it is being read gets a new
+folder and is then pointed to it.
 """
 
 from __future__ import annotations
@@ -56,13 +56,34 @@ def append_table(df: DataFrame, table: str) -> None:
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Overwrite a table with ``df`` even when ``df`` reads that table:
-    write a staging table, drop the old one, rename the staging table."""
+    """Overwrite a table with ``df`` even when ``df`` reads that table. The new rows
+    are written as a table of their own first. With the same columns the old
+    table is then pointed to them, which is one step; else the old table is
+    renamed, the new one takes its name, and only then the old one is dropped.
+    A failure on the way leaves the old rows readable."""
     spark = df.sparkSession
-    staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
+    tag = uuid.uuid4().hex[:8]
+    staging, former = f"{table}__staging_{tag}", f"{table}__former_{tag}"
+    exists = spark.catalog.tableExists(table)
+    same = exists and [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]
+    if same:
+        folder = f"{table_location(spark, table)}__v_{tag}"
+        df.write.parquet(folder)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+        return
     df.write.mode("overwrite").format("parquet").saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if exists:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    if exists:
+        spark.sql(f"DROP TABLE {former}")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of a catalogued table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location")
+    return rows.first()["data_type"].rstrip("/")
 
 
 def overwrite_snapshot(df: DataFrame, table: str) -> None:
