@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mercato.session import ensure_checkpoint_dir, scratch_dir
 
@@ -57,15 +56,28 @@ def arrow_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.R
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage reliably: into the shared checkpoint folder."""
+    """Cut the lineage reliably: into the shared checkpoint folder; partitions stay."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage reliably: written as a table into the shared checkpoint folder
+    and read again. The rows are computed once, and plans stay small."""
+    path = shared_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with ``_`` behind it until no column of ``taken`` has it."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder."""
     return scratch_dir(spark, name)
 
-
-def text_stages_schema(docs: DataFrame) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])

@@ -46,12 +46,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from itertools import combinations
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Memo, id_and_text, materialize, shared_path
-from mercato.llm.links import Bloom, bloom, components, list_links
+from mercato.llm.common import Memo, id_and_text, shared_path, stored
+from mercato.llm.links import Bloom, bits_for, bloom, components, list_links
 
 SHINGLE = 5
 #: Similarity as a fraction; 4/9 = (4/5) / (1 + 4/5).
@@ -367,21 +367,23 @@ def _could_overlap(c, n, m):
     return (NUM + DEN) * (c + behind) >= NUM * (n + m)
 
 
-def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(documents, classes): (doc_id, set_id, n) of all rows, and (set_id,
-    component) of the sets that have a doc_id, component being a doc_id."""
+def set_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(documents, classes): (doc_id, set_id, n) of all rows, and (id, component) of
+    the sets that link with others; component is a set's id."""
     spark = docs.sparkSession
     path = shared_path(spark, "shingles")
     _sets(docs).write.parquet(f"{path}/sets")
     sets = spark.read.parquet(f"{path}/sets")
     rows = sets.select("doc_id", F.col("id").alias("set_id"), "n")
-    late = bloom(_counts(sets).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > LONG_LIST).select("key"), "key")
+    # postings by which two sets may meet: some for each document
+    bits = bits_for(8 * sets.count())
+    late = bloom(_counts(sets).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > LONG_LIST).select("key"), "key", bits)
     if light is None:
         counted = rows.where(F.col("n") <= most_partner(MOST_LIGHT)).groupBy("n").agg(F.countDistinct("set_id").alias("sets")).collect()
         light = light_boundary({r["n"]: r["sets"] for r in counted})
     # shingles that two sets have among their first ones; partial minima and maxima
     twice = _first_shingles(sets, late, light).groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
-    shared = bloom(twice.select(F.expr(f"shiftleft(token, {SHORT}) | (token & {(1 << SHORT) - 1}L)").alias("key")), "key")
+    shared = bloom(twice.select(F.expr(f"shiftleft(token, {SHORT}) | (token & {(1 << SHORT) - 1}L)").alias("key")), "key", bits)
     _postings(sets, late, shared, light).write.parquet(f"{path}/found")
     found = spark.read.parquet(f"{path}/found")
     postings = found.where("kind = 0").groupBy("token", "id").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
@@ -390,21 +392,16 @@ def jaccard_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFram
     def verify(pairs: DataFrame) -> DataFrame:
         x, y = (hists.select(*[F.col(c).alias(f"{side}_{c}") for c in hists.columns]) for side in "xy")
         may = pairs.join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id")).where(_may_overlap("x", "y"))
-        pairs = materialize(may.select("a", "b"))
-        used = pairs.select(F.explode(F.array("a", "b")).alias("used")).distinct()
-        own = _wanted_sets(sets, bloom(used, "used")).groupBy("id").agg(F.first("s").alias("s"))
+        pairs = stored(may.select("a", "b"))
+        used = pairs.select(F.explode(F.array("a", "b")).alias("used"))
+        own = _wanted_sets(sets, bloom(used, "used", bits)).groupBy("id").agg(F.first("s").alias("s"))
         a = own.select(F.col("id").alias("a"), F.col("s").alias("sa"))
         b = own.select(F.col("id").alias("b"), F.col("s").alias("sb"))
         return _similar_pairs(pairs.join(a, "a").join(b, "b"))
 
     narrow = (lambda x, y: NUM * F.greatest(F.col(f"{x}_n"), F.col(f"{y}_n")) <= DEN * F.least(F.col(f"{x}_n"), F.col(f"{y}_n")), _could_overlap, "n")
     links = list_links(postings, _pair_filter, verify, "pos < 4", light_links(found), hists, _may_overlap, narrow)
-    firsts = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    labels = components(links)
-    named = firsts.join(labels, F.col("set_id") == F.col("id"), "left").select("set_id", "first", F.coalesce("component", "set_id").alias("c"))
-    named = materialize(named)
-    least = named.groupBy(F.col("c").alias("of")).agg(F.min("first").alias("component"))
-    return rows, named.join(least, F.col("c") == F.col("of")).select("set_id", "component")
+    return rows, components(links)
 
 
 def _may_overlap(x: str, y: str):
@@ -414,46 +411,64 @@ def _may_overlap(x: str, y: str):
     return F.col(f"{x}_h").isNull() | F.col(f"{y}_h").isNull() | enough
 
 
+def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, set_id, c) of the different (doc_id, set) pairs that have shingles,
+    with their class."""
+    pairs = rows.where("n > 0").select("doc_id", "set_id").distinct()
+    named = pairs.join(labels, F.col("set_id") == F.col("id"), "left")
+    return stored(named.select("doc_id", "set_id", F.coalesce("component", "set_id").alias("c")))
+
+
 def jaccard_components(docs: DataFrame, light: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document: the smallest doc_id
     reachable by links, its own if there are none."""
-    rows, classes = jaccard_classes(docs, light)
-    named = classes.withColumnRenamed("set_id", "of")
-    out = rows.join(named, F.col("set_id") == F.col("of"), "left")
+    rows, labels = set_classes(docs, light)
+    named = _placed(rows, labels).where("doc_id IS NOT NULL")
+    least = named.groupBy("c").agg(F.min("doc_id").alias("component"))
+    classes = named.select("set_id", "c").distinct().join(least, "c").select(F.col("set_id").alias("of"), "component")
+    out = rows.join(classes, F.col("set_id") == F.col("of"), "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _own_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with positional names c0, c1, ..., the id as ``of`` and the id of
-    the row's own set as ``own``."""
-    plain = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], F.col(id_col).cast("long").alias("of"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("own_text"))
-    schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in plain.schema.fields[:-1]], T.StructField("own", T.LongType())])
+def _own_sets(plain: DataFrame, text: str) -> DataFrame:
+    """``plain`` with the id of the row's own set as ``own`` and its size as ``own_n``."""
+    with_text = plain.withColumn("own_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in plain.schema.fields], T.StructField("own", T.LongType()), T.StructField("own_n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = pa.array([set_id(shingle_set(t.as_py())) for t in b.columns[-1]], pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], own], names=schema.names)
+            sets = [shingle_set(t.as_py()) for t in b.columns[-1]]
+            own, n = pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], own, n], names=schema.names)
 
-    return plain.mapInArrow(run, schema)
+    return with_text.mapInArrow(run, schema)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all its columns, of each component the rows with the
-    smallest doc_id. Rows without id stay. Of an id with unlike texts only the
-    rows go whose own text is a near copy; they are told by their sets, which are
-    built again for such ids only."""
-    rows, classes = jaccard_classes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    named = classes.withColumnRenamed("set_id", "of")
-    gone = (F.col("n") > 0) & (F.coalesce("component", "doc_id") != F.col("doc_id"))
-    found = rows.where("doc_id IS NOT NULL").join(named, F.col("set_id") == F.col("of"), "left").select("doc_id", "set_id", gone.alias("gone"))
-    by_id = found.groupBy("doc_id").agg(F.max("gone").alias("gone"), (F.min("gone") != F.max("gone")).alias("mixed"))
-    ids = materialize(by_id.where("gone").select(F.col("doc_id").alias("dropped_id"), "mixed"))
-    kept = docs.join(ids, F.col(id_col) == F.col("dropped_id"), "left_anti")
-    mixed = ids.where("mixed").select("dropped_id")
-    if mixed.isEmpty():
-        return kept
-    pairs = found.where("gone").select(F.col("doc_id").alias("gone_id"), F.col("set_id").alias("gone_set")).distinct()
-    own = _own_sets(docs.join(mixed, F.col(id_col) == F.col("dropped_id"), "left_semi"), id_col, text_col)
-    own = own.join(pairs, (F.col("of") == F.col("gone_id")) & (F.col("own") == F.col("gone_set")), "left_anti")
-    return kept.union(own.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    """``docs`` with all its columns, of each class of near copies one row: one with
+    the smallest doc_id (rows without id only if the class has no other), of several
+    texts of that id the one with the smallest set id, of equal ones any. Rows
+    without shingles stay. Ids that one row has are decided by the id; rows of
+    repeated ids and rows without id are told by their sets, built again for them."""
+    rows, labels = set_classes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    placed = _placed(rows, labels)
+    first = placed.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id")).alias("m"))
+    first = first.select("c", F.col("m.doc_id").alias("first_id"), F.col("m.set_id").alias("first_set"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("set_id") == F.col("first_set"))
+    marked = placed.join(first, "c").select("doc_id", "set_id", is_first.alias("first"))
+    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    several = stored(ids.where("rows > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("several")))
+    gone = marked.where("NOT first AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone"))
+    plain = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], F.col(id_col).cast("long").alias("of"))
+    names = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    leaving = stored(gone.unionByName(several.where("several IS NOT NULL").select(F.col("several").alias("gone"))).distinct())
+    kept = plain.where("of IS NOT NULL").join(leaving, F.col("of") == F.col("gone"), "left_anti")
+    if several.isEmpty():
+        return kept.select(*names)
+    own = _own_sets(plain.join(several, F.col("of").eqNullSafe(F.col("several")), "left_semi"), f"c{docs.columns.index(text_col)}")
+    chosen = marked.where("first").select(F.col("doc_id").alias("first_id"), F.col("set_id").alias("first_set"))
+    copies = own.where("own_n > 0").join(chosen, F.col("of").eqNullSafe(F.col("first_id")) & (F.col("own") == F.col("first_set")), "left_semi")
+    one = Window.partitionBy("of", "own").orderBy(F.lit(0))
+    copies = copies.withColumn("nth", F.row_number().over(one)).where("nth = 1").drop("nth")
+    return kept.select(*names).union(copies.select(*names)).union(own.where("own_n = 0").select(*names))

@@ -18,16 +18,19 @@ Step 3 makes the result exact: the components are those of all links."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import materialize
+from mercato.llm.common import stored
 
 #: A list of up to this many ids is compared at once.
 LONG_LIST = 48
+#: Different links that one task solves; some 100 MB.
+MOST_EDGES = 1_000_000
 #: Rounds in which components are compared by one member of each.
 ROUNDS = 2
 
@@ -37,21 +40,54 @@ Narrow = tuple[Callable[[str, str], Column], Callable[[Column, Column, Column],
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of all ids of ``links`` (a, b long): component is the
-    smallest id reachable. Labels travel along links and jump to their label's
-    label; each round is a partial minimum by id, so a hub is no hot task. The
-    joins are merged: a broadcast in every round would pass through the driver."""
-    edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = materialize(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    smallest id reachable. Up to ``MOST_EDGES`` different links, counted before,
+    are solved by one task; more by rounds over all of them."""
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    edges = stored(links.where("a <> b").select(low.alias("a"), high.alias("b")).distinct())
+    if edges.count() <= MOST_EDGES:
+        return stored(edges.coalesce(1).mapInArrow(_solved, "id long, component long"))
+    return _by_rounds(edges)
+
+
+def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components of the links of one task: labels go down along the links and jump
+    to their label's label until nothing moves."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    if not held:
+        return
+    a, b = (np.concatenate(side) for side in zip(*held))
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(ids))
     while True:
-        heard = edges.join(labels.hint("merge"), edges.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("heard"))
+        least = np.minimum(label[x], label[y])
+        new = label.copy()
+        for ends in (x, y, label[x], label[y]):
+            np.minimum.at(new, ends, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    for lo in range(0, len(ids), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[lo : lo + 50_000]), pa.array(ids[label[lo : lo + 50_000]])], names=["id", "component"])
+
+
+def _by_rounds(edges: DataFrame) -> DataFrame:
+    """Labels travel along links and jump to their label's label, twice a round;
+    each round is a partial minimum by id, so a hub is no hot task. The joins are
+    merged: a broadcast in every round would pass through the driver."""
+    both = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    while True:
+        heard = both.join(labels.hint("merge"), both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("heard"))
         merged = labels.join(heard.hint("merge"), "id").select("id", F.least("component", "heard").alias("component"), F.col("component").alias("old"))
-        up = labels.select(F.col("id").alias("up_id"), F.col("component").alias("up"))
-        jumped = merged.join(up.hint("merge"), F.col("component") == F.col("up_id"), "left")
-        least = F.least("component", F.coalesce("up", "component"))
-        new = materialize(jumped.select("id", least.alias("component"), (least != F.col("old")).alias("changed")))
-        changed = new.where("changed").limit(1).count()
+        for _ in range(2):
+            up = labels.select(F.col("id").alias("up_id"), F.col("component").alias("up"))
+            jumped = merged.join(up.hint("merge"), F.col("component") == F.col("up_id"), "left")
+            merged = jumped.select("id", F.least("component", F.coalesce("up", "component")).alias("component"), "old")
+        new = stored(merged.select("id", "component", (F.col("component") != F.col("old")).alias("changed")))
         labels = new.select("id", "component")
-        if not changed:
+        if new.where("changed").isEmpty():
             return labels
 
 
@@ -59,7 +95,7 @@ def _sides(df: DataFrame, side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
-def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None, attributes: DataFrame | None = None, bound: Callable[[str, str], Column] | None = None, narrow: Narrow | None = None, ready: Callable[[DataFrame], None] | None = None) -> DataFrame:
+def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], verify: Verify, first: str, known: DataFrame | None = None, attributes: DataFrame | None = None, bound: Callable[[str, str], Column] | None = None, narrow: Narrow | None = None, ready: Callable[[DataFrame], None] | None = None, refine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all links among ``postings``.
 
     ``pair_filter(x, y)`` is a condition on the columns x_... and y_... of two
@@ -72,14 +108,16 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
     possible pair, one on (number of common tokens, size, size), and the name of
     the size; tokens of long lists, which are not scanned for it, count as common.
     ``ready`` is called once, before the first pairs are verified, with the ids
-    that pairs may have (ends of the pairs of short lists, ids of long ones)."""
-    every = materialize(postings)
+    that pairs may have (ends of the pairs of short lists, ids of long ones).
+    ``refine`` deals the postings of lists that step 3 has left into smaller lists,
+    in one of which every possible pair meets."""
+    every = stored(postings)
     none = every.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
     found = known if known is not None else none
-    long = materialize(every.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST).select("token"))
-    has_long = long.limit(1).count() > 0
+    long = stored(every.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST).select("token"))
+    has_long = not long.isEmpty()
     short = every.join(long, "token", "left_anti") if has_long else every
-    postings = materialize(every.join(long, "token", "left_semi")) if has_long else every
+    postings = stored(every.join(long, "token", "left_semi")) if has_long else every
 
     def candidates(x: DataFrame, y: DataFrame, on: Column, more: Column | None = None) -> DataFrame:
         both = pair_filter("x", "y") | pair_filter("y", "x")
@@ -102,13 +140,13 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         order = F.struct(F.xxhash64("id", "token").alias("h"), *own)
         mixed = placed.groupBy("token", "component").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("weight"))
         lists = mixed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-        return placed, materialize(mixed.join(lists, "token", "left_semi"))
+        return placed, stored(mixed.join(lists, "token", "left_semi"))
 
     def add(found: DataFrame, pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs)
+        pairs = stored(pairs)
         if pairs.isEmpty():
             return found
-        return materialize(found.select("a", "b").unionByName(verify(pairs).select("a", "b")))
+        return found.select("a", "b").unionByName(stored(verify(pairs).select("a", "b")))
 
     def counted() -> DataFrame:
         meet, enough, size = narrow
@@ -129,14 +167,14 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("o")), F.struct(F.col("b").alias("id"), F.col("a").alias("o")))).alias("e"), "c")
         best = ends.groupBy("e.id").agg(F.max(F.struct("c", (-F.col("e.o")).alias("o"))).alias("m"))
         other = -F.col("m.o")
-        tried = materialize(best.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b")).distinct())
+        tried = stored(best.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b")).distinct())
         found = add(found, tried)
         labels = components(found)
         ca, cb = (labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")) for side in "ab")
         placed = pairs.join(tried, ["a", "b"], "left_anti").join(ca, "a", "left").join(cb, "b", "left")
         return add(found, placed.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
-    pairs = materialize(candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")) if narrow is None else counted())
+    pairs = stored(candidates(_sides(short, "x"), _sides(short, "y"), F.col("x_token") == F.col("y_token")) if narrow is None else counted())
     if ready is not None:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
         ready(ids.unionByName(postings.select("id")) if has_long else ids)
@@ -155,7 +193,8 @@ def list_links(postings: DataFrame, pair_filter: Callable[[str, str], Column], v
         return found
     groups = groups.select("token", "component")
     placed = placed.join(groups, ["token", "component"], "left_semi")
-    placed = materialize(placed if attributes is None else placed.join(attributes, "id"))
+    placed = placed if refine is None else refine(placed)
+    placed = stored(placed if attributes is None else placed.join(attributes, "id"))
     x, y = _sides(placed, "x"), _sides(placed, "y")
     apart = (F.col("x_token") == F.col("y_token")) & (F.col("x_component") < F.col("y_component"))
     rest = candidates(x, y, apart, None if bound is None else bound("x", "y"))
@@ -187,12 +226,15 @@ class Bloom:
 MOST_BITS = 26
 
 
-def bloom(keys: DataFrame, column: str) -> Bloom:
-    """The filter of the 64-bit hashes in ``column``; only its words (1 MB to
-    8 MB, by the number of keys) reach the driver."""
-    keys = materialize(keys.select(column))
-    n = keys.count()
-    bits = min(MOST_BITS, max(16, (16 * n).bit_length()))
+def bits_for(keys: int) -> int:
+    """Bits of a filter for about so many keys: 16 each."""
+    return min(MOST_BITS, max(16, (16 * max(keys, 1)).bit_length()))
+
+
+def bloom(keys: DataFrame, column: str, bits: int) -> Bloom:
+    """The filter of the 64-bit hashes in ``column``, of 2^bits bits; only its words
+    (8 MB at most) reach the driver. With far more keys than it has room for it
+    lets most others pass as well, which costs time but loses nothing."""
     mask = (1 << bits) - 1
     k = F.col(column)
     places = F.array(k.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(k, 32).bitwiseAND(F.lit(mask)))
