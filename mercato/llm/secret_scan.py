@@ -30,6 +30,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,6 +57,8 @@ KEY_TEXT = re.compile(rf"(?<![A-Za-z0-9+/_-])((?:M[A-Za-z0-9+/_-]{{15}}|{SSH_STA
 KEY_LEAST = 40
 #: The next line of wrapped base64; line feeds may be written as in JSON.
 NEXT_LINE = re.compile(r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*([A-Za-z0-9+/_-]+)(={0,2})")
+#: What stands between the lines of a wrapped run.
+NOT_BASE64 = re.compile(r"\\r\\n|\\n|[ \t\r\n]+")
 KEY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:30|6f70656e7373682d6b65792d7631)(?:[0-9A-Fa-f]{2}){30,}(?![0-9A-Fa-f])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[A-Za-z0-9_-]{9,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{16,})")
 
@@ -63,6 +66,15 @@ JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[A-Za-z0-9_-]{9,})\.([A-Za-z0-9_-]{4,})\.
 SIGNATURE_BYTES = {"HS256": {32}, "HS384": {48}, "HS512": {64}, "ES256": {64}, "ES384": {96}, "ES512": {132}, "ES256K": {64}, "EDDSA": {64, 114}}
 SSH_NAME = b"openssh-key-v1\0"
 INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
+#: Fixed: algorithms of PKCS 8 keys (DER of their identifiers).
+RSA_KEYS = {bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a864886f70d01010a")}
+EC_KEY = bytes.fromhex("2a8648ce3d0201")
+#: DSA and Diffie-Hellman: the key is a number.
+NUMBER_KEYS = {bytes.fromhex("2a8648ce380401"), bytes.fromhex("2a864886f70d010301"), bytes.fromhex("2a8648ce3e0201")}
+#: X25519, X448, Ed25519, Ed448: the key is so many octets.
+OCTET_KEYS = {bytes.fromhex("2b656e"): 32, bytes.fromhex("2b656f"): 56, bytes.fromhex("2b6570"): 32, bytes.fromhex("2b6571"): 57}
+#: Password-based encryption (PKCS 5 and 12).
+ENCRYPTED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 
 
 # -- parsers ---------------------------------------------------------------
@@ -89,7 +101,60 @@ def der_items(blob: bytes, lo: int, hi: int) -> list[tuple[int, int, int]] | Non
     return out
 
 
+def _is_oid(value: bytes) -> bool:
+    """Whole base-128 numbers, three bytes at least, none with leading zeros."""
+    return len(value) >= 3 and value[-1] < 0x80 and value[0] != 0x80 and not any(a < 0x80 and b == 0x80 for a, b in zip(value, value[1:]))
+
+
+def _numbers(blob: bytes, items: list[tuple[int, int, int]]) -> list[bytes] | None:
+    """The values of items that are all integers (not empty)."""
+    if any(t != INTEGER or a == b for t, a, b in items):
+        return None
+    return [blob[a:b] for _, a, b in items]
+
+
+def _is_rsa(blob: bytes, items: list[tuple[int, int, int]]) -> bool:
+    """PKCS 1: version, modulus, exponents, primes and the rest of them."""
+    n = _numbers(blob, items[:9]) if len(items) >= 9 else None
+    if n is None or len(n[1]) < 32 or abs(len(n[3]) - len(n[1])) > len(n[1]) // 2:
+        return False
+    return (n[0] == b"\0" and len(items) == 9) or (n[0] == b"\x01" and len(items) == 10 and items[9][0] == SEQUENCE)
+
+
+def _is_ec(blob: bytes, items: list[tuple[int, int, int]]) -> bool:
+    """SEC 1: version 1, the secret, perhaps the curve and the public point."""
+    tags = [t for t, _, _ in items]
+    if tags[:2] != [INTEGER, OCTETS] or tags[2:] not in ([], [0xA0], [0xA1], [0xA0, 0xA1]):
+        return False
+    return blob[items[0][1] : items[0][2]] == b"\x01" and 16 <= items[1][2] - items[1][1] <= 66
+
+
+def _is_dsa(blob: bytes, items: list[tuple[int, int, int]]) -> bool:
+    n = _numbers(blob, items)
+    return n is not None and len(n) == 6 and n[0] == b"\0" and len(n[1]) >= 32
+
+
+def _holds_key(oid: bytes, blob: bytes, lo: int, hi: int) -> bool:
+    """Whether the octets of a PKCS 8 key are a key of the algorithm."""
+    outer = der_items(blob, lo, hi)
+    if outer is None or len(outer) != 1:
+        return False
+    tag, a, b = outer[0]
+    if oid in OCTET_KEYS:
+        return tag == OCTETS and b - a == OCTET_KEYS[oid]
+    if oid in NUMBER_KEYS:
+        return tag == INTEGER and b - a >= 16
+    items = der_items(blob, a, b) if tag == SEQUENCE else None
+    if oid in RSA_KEYS:
+        return items is not None and _is_rsa(blob, items)
+    if oid == EC_KEY:
+        return items is not None and _is_ec(blob, items)
+    return b - a >= 16  # an algorithm that is not known: one value that fills the octets
+
+
 def is_der_key(blob: bytes) -> bool:
+    """A private key in DER: PKCS 8 (plain or encrypted), PKCS 1, SEC 1 or DSA, with
+    every version, identifier and nested value as it is defined."""
     outer = der_items(blob, 0, len(blob))
     if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
         return False
@@ -98,20 +163,20 @@ def is_der_key(blob: bytes) -> bool:
         return False
     tags = [t for t, _, _ in items]
 
-    def oid_first(region: tuple[int, int, int]) -> bool:
+    def algorithm(region: tuple[int, int, int]) -> bytes | None:
         inner = der_items(blob, *region[1:])
-        return bool(inner) and inner[0][0] == OID and inner[0][2] > inner[0][1]
-
-    if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:  # PKCS 8
-        return oid_first(items[1])
+        oid = blob[inner[0][1] : inner[0][2]] if inner and inner[0][0] == OID and len(inner) <= 2 else b""
+        return oid if _is_oid(oid) else None
+
+    if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:  # PKCS 8, perhaps with attributes and a public key
+        oid, version = algorithm(items[1]), blob[items[0][1] : items[0][2]]
+        if oid is None or version not in (b"\0", b"\x01") or tags[3:] not in ([], [0xA0], [0x81], [0xA1], [0xA0, 0x81], [0xA0, 0xA1]):
+            return False
+        return _holds_key(oid, blob, *items[2][1:])
     if tags == [SEQUENCE, OCTETS]:  # encrypted PKCS 8
-        return oid_first(items[0]) and items[1][2] - items[1][1] >= 16
-    if len(tags) >= 9 and set(tags[:9]) == {INTEGER}:  # PKCS 1
-        sizes = [b - a for _, a, b in items[:9]]
-        return sizes[0] == 1 and sizes[1] >= 32 and abs(sizes[3] - sizes[1]) <= sizes[1] // 2
-    if tags[:2] == [INTEGER, OCTETS]:  # SEC 1
-        return blob[items[0][1] : items[0][2]] == b"\x01" and 16 <= items[1][2] - items[1][1] <= 66
-    return len(tags) == 6 and set(tags) == {INTEGER} and items[1][2] - items[1][1] >= 32  # DSA
+        oid = algorithm(items[0])
+        return oid is not None and oid.startswith(ENCRYPTED) and items[1][2] - items[1][1] >= 16
+    return _is_rsa(blob, items) or _is_ec(blob, items) or _is_dsa(blob, items)
 
 
 def der_size(blob: bytes) -> int | None:
@@ -182,7 +247,45 @@ def pem_size(blob: bytes) -> int | None:
     return max((m.end() for m in PEM.finditer(blob.decode("latin-1")) if is_pem_key(m[2])), default=None)
 
 
-def key_end(text: str, m: re.Match[str]) -> int | None:
+class Wrapped:
+    """The lines of base64 that follow places of a text. Each line is matched once;
+    lines that go on from one another are numbered and their letters summed up, so
+    that the line on which a given number of letters ends is looked up."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.chain: dict[int, tuple[int, int]] = {}  # where a line ends: its chain and number
+        self.ends: list[list[int]] = []  # of each chain: ends of lines
+        self.sums: list[list[int]] = []  # letters up to and with each line
+
+    def _follow(self, at: int) -> tuple[int, int]:
+        """Chain and number of the line that ends at ``at``."""
+        if at not in self.chain:
+            chain, ends, sums = len(self.ends), [at], [0]
+            self.ends.append(ends)
+            self.sums.append(sums)
+            self.chain[at] = chain, 0
+            while (m := NEXT_LINE.match(self.text, at)) and not m[1].startswith((SSH_START, PEM_START)):
+                at = m.end()
+                if at in self.chain:
+                    break  # goes on in a chain that is known: it is looked up there
+                ends.append(at)
+                sums.append(sums[-1] + len(m[1]))
+                self.chain[at] = chain, len(ends) - 1
+                if m[2]:
+                    break
+        return self.chain[at] if at in self.chain else (0, 0)
+
+    def line_end(self, at: int, letters: int) -> int | None:
+        """Where the line ends with which exactly ``letters`` have followed ``at``."""
+        self._follow(at)
+        chain, i = self.chain[at]
+        sums = self.sums[chain]
+        k = bisect_left(sums, sums[i] + letters, i)
+        return self.ends[chain][k] if k < len(sums) and sums[k] == sums[i] + letters else None
+
+
+def key_end(text: str, m: re.Match[str], wrapped: Wrapped) -> int | None:
     """Where the key ends that starts as ``m``, on this line or on one of the next
     lines of base64; the key tells its own length."""
     run = m[1]
@@ -191,12 +294,12 @@ def key_end(text: str, m: re.Match[str]) -> int | None:
             return m.end()
         size = der_size(from_base64(run[:8]) or b"")
         most = None if size is None else (8 * size + 5) // 6
-        if most is None or most <= len(run):
+        if m[2] or most is None or most <= len(run) or most < KEY_LEAST:
             return None
-    else:
-        most = None
+        end = wrapped.line_end(m.end(), most - len(run))
+        return end if end and is_key(from_base64("".join(NOT_BASE64.sub("", text[m.start() : end])))) else None
     parts, ends, length, last = [run], [(len(run), m.end())], len(run), m
-    while not last[last.lastindex] and (most is None or length < most):
+    while not last[last.lastindex]:
         last = NEXT_LINE.match(text, last.end())
         if last is None or last[1].startswith((SSH_START, PEM_START)):
             break
@@ -204,8 +307,6 @@ def key_end(text: str, m: re.Match[str]) -> int | None:
         length += len(last[1])
         ends.append((length, last.end()))
     joined = "".join(parts)
-    if most is not None:
-        return ends[-1][1] if length == most >= KEY_LEAST and is_key(from_base64(joined)) else None
     blob = from_base64(joined[: length - (length % 4 == 1)]) or b""
     pem = run.startswith(PEM_START)
     size = pem_size(blob) if pem else ssh_size(blob)
@@ -250,9 +351,9 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     if "PRIVATE KEY-----" in text:
         out += [(m.start(), 3, m.end()) for m in PEM.finditer(text) if is_pem_key(m[2])]
-    at = 0
+    at, wrapped = 0, Wrapped(text)
     for m in KEY_TEXT.finditer(text):
-        if m.start() >= at and (end := key_end(text, m)):
+        if m.start() >= at and (end := key_end(text, m, wrapped)):
             out.append((m.start(), 4, end))
             at = end
     for m in KEY_HEX.finditer(text):

@@ -152,23 +152,68 @@ def parse_record(data: bytes, at: int) -> tuple[Found | None, str, int]:
     return Found(at, hi + 4, None, headers, http, payload), "", hi + 4
 
 
-def read_member(data: bytes, at: int) -> tuple[bytes | None, int]:
-    """What the gzip member at ``at`` holds, and where it ends."""
+def read_member(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """What the gzip member at ``at`` holds, and where it ends; of a broken one what
+    could be inflated, and none."""
     d, out, i = zlib.decompressobj(31), [], at
     try:
         while not d.eof:
             if i >= len(data):
-                return None, at
+                return b"".join(out), None
             out.append(d.decompress(data[i : i + STEP]))
             i += STEP
     except zlib.error:
-        return None, at
+        return _inflated(data, at, i), None
     return b"".join(out), min(i, len(data)) - len(d.unused_data)
 
 
+def _inflated(data: bytes, at: int, last: int) -> bytes:
+    """The beginning of a broken member up to the byte that breaks it, which lies in
+    the step from ``last`` on."""
+    d = zlib.decompressobj(31)
+    out = [d.decompress(data[at:last])]
+    try:
+        for i in range(last, min(last + STEP, len(data))):
+            out.append(d.decompress(data[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+class Places:
+    """The next place of a byte string; each place is searched for once."""
+
+    def __init__(self, data: bytes, what: bytes):
+        self.data, self.what, self.at = data, what, -1
+
+    def after(self, at: int) -> int:
+        """The first place behind ``at``, the end if there is none. ``at`` ascends."""
+        if self.at <= at:
+            found = self.data.find(self.what, at + 1)
+            self.at = len(self.data) if found < 0 else found
+        return self.at
+
+
+def member_records(inner: bytes, at: int, end: int) -> tuple[list[Found], bool]:
+    """The records and gaps inside a member, and whether it has a record."""
+    found: list[Found] = []
+    versions, i, good = Places(inner, VERSION), 0, not inner
+    while i < len(inner):
+        record, reason, after = parse_record(inner, i)
+        if record is not None:
+            found.append(record._replace(start=at, end=end))
+            good, i = True, after
+        else:
+            found.append(Found(at, end, reason, {}, {}, b""))
+            i = versions.after(i)
+    return found, good
+
+
 def salvage(data: bytes) -> Iterator[Found]:
-    """All records that can be read, in order, and the gaps between them."""
+    """All records that can be read, in order, and the gaps between them. Of a
+    broken member the records of its beginning are kept; the rest is a gap."""
     at, gap, why = 0, None, ""
+    magics, versions = Places(data, MAGIC), Places(data, VERSION)
 
     def closed(to: int) -> list[Found]:
         nonlocal gap
@@ -180,23 +225,17 @@ def salvage(data: bytes) -> Iterator[Found]:
         found: list[Found] = []
         reason, end, good = "no member and no record", at, False
         if data[at : at + 3] == MAGIC:
-            inner, end = read_member(data, at)
-            if inner is None:
+            inner, whole = read_member(data, at)
+            if whole is None:
                 reason = "bad gzip member"
+                kept = [f for f in member_records(inner, at, at)[0] if f.reason is None]
+                if kept:
+                    yield from closed(at)
+                    yield from kept
             else:
-                i, good = 0, True
-                while i < len(inner):
-                    record, reason, i2 = parse_record(inner, i)
-                    if record is None:
-                        good = bool(found)
-                        nxt = inner.find(VERSION, i + 1)
-                        found.append(Found(at, end, reason, {}, {}, b""))
-                        if nxt < 0:
-                            break
-                        i = nxt
-                    else:
-                        found.append(record._replace(start=at, end=end))
-                        good, i = True, i2
+                end = whole
+                found, good = member_records(inner, at, end)
+                reason = reason if good or not found else found[0].reason
         else:
             record, reason, end = parse_record(data, at)
             if record is not None:
@@ -208,18 +247,18 @@ def salvage(data: bytes) -> Iterator[Found]:
         else:
             if gap is None:
                 gap, why = at, reason
-            places = [p for p in (data.find(MAGIC, at + 1), data.find(VERSION, at + 1)) if p >= 0]
-            at = min(places, default=len(data))
+            at = min(magics.after(at), versions.after(at))
     yield from closed(len(data))
 
 
 RECORDS = "file string, start long, end long, reason string, record_id string, record_type string, target_uri string, payload_digest string, refers_to string, http_length long, payload binary"
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
     """One row per record or quarantined gap (``reason`` not null) of the WARC
-    files (plain or gzip by member) below ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files (plain or gzip by member) below ``path`` whose names fit ``pattern``. A
+    file is read by one task and may have up to 2 GB."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in RECORDS.split(", ")]
