@@ -14,7 +14,8 @@ from mercato.session import ensure_checkpoint_dir
 # Stage order of the report.
 STAGES = ["source", "bronze", "silver", "feature", "store", "quality"]
 
-# The pipeline graph: (node, stage, asset type) and (from, to, operation).
+# The pipeline graph: (node, stage, asset type) and (from, to, operation); the edges
+# of written tables are those that the batch job notes as it writes them.
 NODES = [
     ("events", "source", "parquet"),
     ("lineitem", "source", "parquet"),
@@ -29,11 +30,14 @@ NODES = [
     ("purchases_clean", "silver", "table"),
     ("catalog_clean", "silver", "table"),
     ("signals_clean", "silver", "table"),
+    ("click_pairs", "feature", "table"),
+    ("purchase_pairs", "feature", "table"),
     ("user_features", "feature", "table"),
     ("item_features", "feature", "table"),
     ("user_item_features", "feature", "table"),
     ("co_purchase_pairs", "feature", "table"),
     ("feature_catalogue", "store", "table"),
+    ("feature_versions", "store", "table"),
     ("training_dataset", "store", "table"),
     ("serving_table", "store", "table"),
     ("serving_vectors", "store", "table"),
@@ -53,16 +57,24 @@ EDGES = [
     ("purchases", "purchases_clean", "rules, dedupe last"),
     ("catalog", "catalog_clean", "rules, dedupe, active filter"),
     ("signals", "signals_clean", "rules, dedupe"),
-    ("clickstream", "user_features", "aggregate per user"),
-    ("purchases", "user_features", "aggregate per user"),
-    ("catalog", "user_features", "category mode"),
-    ("clickstream", "item_features", "aggregate per item"),
-    ("purchases", "item_features", "aggregate per item"),
-    ("catalog", "item_features", "carry attributes"),
-    ("signals", "item_features", "carry signals"),
-    ("clickstream", "user_item_features", "aggregate per pair"),
-    ("purchases", "user_item_features", "purchase label"),
-    ("purchases", "co_purchase_pairs", "basket pair mining"),
+    ("clickstream_clean", "click_pairs", "aggregate per user and item"),
+    ("purchases_clean", "purchase_pairs", "aggregate per user and item"),
+    ("click_pairs", "user_features", "aggregate per user"),
+    ("purchase_pairs", "user_features", "aggregate per user"),
+    ("clickstream_clean", "user_features", "preferred values"),
+    ("purchases_clean", "user_features", "spend"),
+    ("catalog_clean", "user_features", "category mode"),
+    ("click_pairs", "item_features", "aggregate per item"),
+    ("purchase_pairs", "item_features", "aggregate per item"),
+    ("catalog_clean", "item_features", "carry attributes"),
+    ("signals_clean", "item_features", "carry signals"),
+    ("click_pairs", "user_item_features", "scores per pair"),
+    ("purchase_pairs", "user_item_features", "purchase label"),
+    ("purchases_clean", "co_purchase_pairs", "basket pair mining"),
+    ("user_features", "feature_versions", "row count and checksum"),
+    ("item_features", "feature_versions", "row count and checksum"),
+    ("user_item_features", "feature_versions", "row count and checksum"),
+    ("co_purchase_pairs", "feature_versions", "row count and checksum"),
     ("user_features", "feature_catalogue", "schema"),
     ("item_features", "feature_catalogue", "schema"),
     ("user_item_features", "feature_catalogue", "schema"),
@@ -86,8 +98,10 @@ EDGES = [
     ("purchases_clean", "referential_integrity", "anti join"),
     ("catalog_clean", "referential_integrity", "anti join"),
     ("signals_clean", "referential_integrity", "anti join"),
-    ("column_profile", "scorecard", "sum"),
-    ("cleaning_waterfall", "scorecard", "sum"),
+    ("clickstream", "scorecard", "count"),
+    ("purchases", "scorecard", "count"),
+    ("catalog", "scorecard", "count"),
+    ("signals", "scorecard", "count"),
 ]
 
 

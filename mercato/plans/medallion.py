@@ -27,72 +27,88 @@ from mercato.sources import tables as T
 REFERENCE_DATE = "2024-02-01"
 
 
-def _write(df: DataFrame, warehouse: str, layer: str, name: str) -> DataFrame:
-    path = f"{warehouse.rstrip('/')}/{layer}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+class Job:
+    """Writes the layers' tables and notes of each what it was made from."""
+
+    def __init__(self, spark: SparkSession, warehouse: str):
+        self.spark, self.warehouse = spark, warehouse.rstrip("/")
+        self.tables: list[tuple[str, str]] = []
+        self.edges: list[tuple[str, str, str]] = []
+
+    def write(self, df: DataFrame, layer: str, table: str, **made_from: str) -> DataFrame:
+        """Write a table and read it back; ``made_from`` maps inputs to operations."""
+        path = f"{self.warehouse}/{layer}/{table}"
+        df.write.mode("overwrite").parquet(path)
+        self.tables.append((table, layer))
+        self.edges += [(source, table, operation) for source, operation in made_from.items()]
+        return self.spark.read.parquet(path)
 
 
 def build(spark: SparkSession, sf_dir: str, warehouse: str, as_of: str | None = None) -> dict[str, DataFrame]:
-    """Write every layer; returns the written tables read back."""
+    """Write every layer; returns the written tables read back, the edges of the
+    run's lineage among them."""
     as_of = as_of or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     out: dict[str, DataFrame] = {}
+    job = Job(spark, warehouse)
     bronze = {
-        "clickstream": T.clickstream(spark, sf_dir),
-        "purchases": T.purchases(spark, sf_dir, with_age_group=True),
-        "catalog": T.catalog(spark, sf_dir),
-        "signals": T.signals(spark, sf_dir),
+        "clickstream": job.write(T.clickstream(spark, sf_dir), "bronze", "clickstream", events="extract item key from props"),
+        "purchases": job.write(
+            T.purchases(spark, sf_dir, with_age_group=True), "bronze", "purchases",
+            lineitem="join orders", orders="join lineitem", customer="join segment",
+        ),
+        "catalog": job.write(T.catalog(spark, sf_dir), "bronze", "catalog", part="project"),
+        "signals": job.write(T.signals(spark, sf_dir), "bronze", "signals", lineitem="aggregate per part"),
     }
-    bronze = {n: _write(df, warehouse, "bronze", n) for n, df in bronze.items()}
     # Quality reports over bronze, then the cleaned silver tables.
-    out["column_profile"] = _write(Q.profile_all(bronze, SPECS), warehouse, "quality", "column_profile")
-    out["cleaning_waterfall"] = _write(Q.waterfall_all(bronze, SPECS), warehouse, "quality", "cleaning_waterfall")
-    out["scorecard"] = _write(Q.scorecard(bronze, SPECS), warehouse, "quality", "scorecard")
-    silver = {n: _write(C.clean(df, SPECS[n]), warehouse, "silver", f"{n}_clean") for n, df in bronze.items()}
-    out["referential_integrity"] = _write(
-        Q.referential_integrity(silver["clickstream"], silver["purchases"], silver["catalog"], silver["signals"]),
-        warehouse,
-        "quality",
-        "referential_integrity",
+    out["column_profile"] = job.write(Q.profile_all(bronze, SPECS), "quality", "column_profile", **dict.fromkeys(bronze, "profile"))
+    out["cleaning_waterfall"] = job.write(Q.waterfall_all(bronze, SPECS), "quality", "cleaning_waterfall", **dict.fromkeys(bronze, "tag"))
+    out["scorecard"] = job.write(Q.scorecard(bronze, SPECS), "quality", "scorecard", **dict.fromkeys(bronze, "count"))
+    how = {"clickstream": "rules, dedupe first", "purchases": "rules, dedupe last", "catalog": "rules, dedupe, active filter", "signals": "rules, dedupe"}
+    silver = {n: job.write(C.clean(df, SPECS[n]), "silver", f"{n}_clean", **{n: how[n]}) for n, df in bronze.items()}
+    clicks, purchases, catalog, signals = (silver[n] for n in ("clickstream", "purchases", "catalog", "signals"))
+    out["referential_integrity"] = job.write(
+        Q.referential_integrity(clicks, purchases, catalog, signals), "quality", "referential_integrity",
+        **{f"{n}_clean": "anti join" for n in silver},
     )
     roles = T.EVENT_ROLES
     # One shuffle per source: the (user, item) pre-aggregates feed all three
     # feature tables.
-    cu = _write(FT.click_pairs(silver["clickstream"], roles, "ts"), warehouse, "features", "click_pairs")
-    pu = _write(FT.purchase_pairs(silver["purchases"]), warehouse, "features", "purchase_pairs")
+    cu = job.write(FT.click_pairs(clicks, roles, "ts"), "features", "click_pairs", clickstream_clean="aggregate per user and item")
+    pu = job.write(FT.purchase_pairs(purchases), "features", "purchase_pairs", purchases_clean="aggregate per user and item")
     shared = {"clicks_ui": cu, "purchases_ui": pu}
-    uf = _write(
-        FT.user_features(
-            silver["clickstream"], silver["purchases"], silver["catalog"], REFERENCE_DATE,
-            device_col="event_type", time_col="ts", roles=roles, **shared,
-        ),
-        warehouse, "features", "user_features",
+    uf = job.write(
+        FT.user_features(clicks, purchases, catalog, REFERENCE_DATE, device_col="event_type", time_col="ts", roles=roles, **shared),
+        "features", "user_features",
+        click_pairs="aggregate per user", purchase_pairs="aggregate per user", clickstream_clean="preferred values", purchases_clean="spend", catalog_clean="category mode",
     )
-    itf = _write(
-        FT.item_features(
-            silver["clickstream"], silver["purchases"], silver["catalog"], silver["signals"], roles=roles, **shared
-        ),
-        warehouse, "features", "item_features",
+    itf = job.write(
+        FT.item_features(clicks, purchases, catalog, signals, roles=roles, **shared), "features", "item_features",
+        click_pairs="aggregate per item", purchase_pairs="aggregate per item", catalog_clean="carry attributes", signals_clean="carry signals",
     )
-    uif = _write(
-        FT.user_item_features(silver["clickstream"], silver["purchases"], roles=roles, **shared),
-        warehouse, "features", "user_item_features",
+    uif = job.write(
+        FT.user_item_features(clicks, purchases, roles=roles, **shared), "features", "user_item_features",
+        click_pairs="scores per pair", purchase_pairs="purchase label",
     )
-    pairs = _write(co_purchase_pairs(silver["purchases"], order=False), warehouse, "features", "co_purchase_pairs")
+    pairs = job.write(co_purchase_pairs(purchases, order=False), "features", "co_purchase_pairs", purchases_clean="basket pair mining")
     out.update(user_features=uf, item_features=itf, user_item_features=uif, co_purchase_pairs=pairs)
-    out["training_dataset"] = _write(ST.training_dataset(uif, uf, itf), warehouse, "store", "training_dataset")
-    out["serving_table"] = _write(
+    out["training_dataset"] = job.write(
+        ST.training_dataset(uif, uf, itf), "store", "training_dataset", user_item_features="labels", user_features="left join", item_features="left join"
+    )
+    out["serving_table"] = job.write(
         ST.serving_table(
             {"user": (uf, "user_id", ST.DEFAULT_USER_FEATURES), "item": (itf, "item_id", ST.DEFAULT_ITEM_FEATURES)},
             as_of,
         ),
-        warehouse, "store", "serving_table",
+        "store", "serving_table", user_features="materialise", item_features="materialise",
     )
-    versions = [ST.snapshot_version(df, n) for n, df in (("user_features", uf), ("item_features", itf), ("user_item_features", uif))]
-    v = versions[0]
-    for x in versions[1:]:
-        v = v.unionByName(x)
-    out["feature_versions"] = _write(v, warehouse, "store", "feature_versions")
+    versioned = {"user_features": uf, "item_features": itf, "user_item_features": uif, "co_purchase_pairs": pairs}
+    v = None
+    for n, df in versioned.items():
+        part = ST.snapshot_version(df, n)
+        v = part if v is None else v.unionByName(part)
+    out["feature_versions"] = job.write(v, "store", "feature_versions", **dict.fromkeys(versioned, "row count and checksum"))
+    edges = spark.createDataFrame(job.edges, "src string, dst string, operation string")
+    out["lineage_edges"] = job.write(edges, "store", "lineage_edges")
     return out
 
 

@@ -102,7 +102,7 @@ def test_serving_lookup(spark):
 def test_lineage_closure(spark):
     cl = {(r.ancestor, r.descendant): r.hops for r in LG.closure(spark, LG.edges_frame(spark)).collect()}
     assert cl[("events", "clickstream")] == 1
-    assert cl[("events", "training_dataset")] == 3
+    assert cl[("events", "training_dataset")] == 4
     assert ("training_dataset", "events") not in cl
 
 
