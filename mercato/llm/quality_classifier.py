@@ -257,7 +257,8 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, host_col: str = "source",
     names = docs.columns
     plain = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], _site([host_col]).alias("host"), _site(list(path_cols)).alias("path"))
     text = f"c{names.index(text_col)}"
-    scored = evidence(plain, model, text, "evidence")
-    rates = site_rates(evidence(plain.select("host", "path", text), model, text, "evidence").drop(text), model.prior)
+    # scored once: written with the documents, read for the rates and for the result
+    scored = stored(evidence(plain, model, text, "evidence"))
+    rates = site_rates(scored.select("host", "path", "evidence"), model.prior)
     out = _with_rates(scored, rates, "host", "path").where(_posterior(F.col("rate"), F.col("evidence")) < reject)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
