@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Memo, shared_path
+from mercato.llm.common import Memo, shared_path, stored
 
 #: Bound of the labelled sample.
 MOST_LABELLED = 20_000
