@@ -93,7 +93,7 @@ def index_length(n):
     return n - -(-2 * NUM * n // (NUM + DEN)) + 1
 
 
-_word_hash = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 500_000)
+_word_hash = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 100_000)
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -163,3 +164,57 @@ def test_fingerprint_tables(docs_of):
     assert len(one) == 1 and one[0].near_next == 1.0
     rows = [(1, "a b"), (1, "a b"), (None, "c d"), (None, None), (2, "e")]
     assert P.edited_fingerprints(docs_of(rows)).count() == 5
+
+
+def brute_posteriors(rows, model):
+    """p_bad by (text, source, lang), from the model's weights and plain loops."""
+    scorer = C.Scorer(model.ratios)
+    ev = []
+    for _, text, lang, source in rows:
+        x = [(f - m) / s for f, m, s in zip(scorer.features(text or ""), model.centre, model.scale)]
+        e = sum(max(-20.0, min(20.0, v)) * w for v, w in zip(x, model.weights)) + model.weights[-1] - model.prior
+        ev.append(max(-30.0, min(30.0, e)))
+    paths, hosts = collections.defaultdict(list), collections.defaultdict(list)
+    for (_, _, lang, source), e in zip(rows, ev):
+        p = 1 / (1 + math.exp(-(e + model.prior)))
+        paths[source, lang].append(p)
+        hosts[source].append(p)
+    every = [p for v in hosts.values() for p in v]
+    mean = sum(every) / len(every)
+
+    def strength(groups):
+        k, n = len(groups), len(every)
+        if k < 2:
+            return 100.0
+        noise = mean * (1 - mean)
+        between = sum(len(v) * (sum(v) / len(v) - mean) ** 2 for v in groups.values()) / n - noise * k / n
+        return min(10_000.0, max(10.0, noise / between - 1)) if between > 0 else 10_000.0
+
+    of_host, of_path = strength(hosts), strength(paths)
+    out = []
+    for (_, _, lang, source), e in zip(rows, ev):
+        h, q = hosts[source], paths[source, lang]
+        host_rate = (sum(h) + of_host * mean) / (len(h) + of_host)
+        rate = (sum(q) + of_path * host_rate) / (len(q) + of_path)
+        out.append(1 / (1 + math.exp(-(e + math.log(rate / (1 - rate))))))
+    return out
+
+
+def test_classifier_equals_brute_force(spark):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(240):
+        bad = rnd.random() < (0.7 if i % 4 == 0 else 0.1)
+        text = " ".join(rnd.choice(["buy", "cheap!!", "now|", "$$$"] if bad else ["river", "stone", "house", "garden", "walked"]) + str(rnd.randrange(40)) for _ in range(rnd.randrange(5, 60)))
+        rows.append((i, text, rnd.choice(["en", "de", None]), None if i % 4 == 3 else f"host{i % 4}"))
+    rows += [(900, None, None, None), (901, "", "en", "host0"), (902, "river1 " * 60_000, "en", "host1"), (None, "stone2 house3", "de", "host2"), (5, rows[5][1], rows[5][2], rows[5][3])]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, lang string, source string, host string, rate int")
+    labels = spark.createDataFrame([(i, int("cheap" not in rows[i][1] and "buy" not in rows[i][1]), 0) for i in range(160)], "doc_id long, quality int, toxic int")
+    model = C.fit(docs, labels)
+    want = collections.Counter((r[0], round(p, 6), p < C.REJECT) for r, p in zip(rows, brute_posteriors(rows, model)))
+    got = C.classify(docs, labels).collect()
+    assert collections.Counter((r.doc_id, round(r.p_bad, 6), r.kept) for r in got) == want
+    assert len({r.kept for r in got}) == 2
+    left = C.drop_rejected(docs, labels)
+    assert left.columns == docs.columns
+    assert collections.Counter(r.doc_id for r in left.collect()) == collections.Counter(r.doc_id for r in got if r.kept)

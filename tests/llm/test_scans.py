@@ -266,3 +266,17 @@ def test_many_broken_members_take_linear_time():
     found = list(W.salvage(data))
     assert time.perf_counter() - began < 2.0
     assert [f.headers["warc-record-id"] for f in found if f.reason is None] == [W.record_id(2)] and len(found) == 2
+
+
+def test_very_long_texts_and_payloads(docs_of, spark, tmp_path):
+    long = "word " * 400_000 + "token: abcdefgh12345 " + "a1" * 200_000
+    got = S.scan_secrets(docs_of([(1, long)])).first()
+    assert (got.n_assign, got.n_hex) == (1, 1) and got.base_sha256 == hashlib.sha256(",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in brute_base(long)).encode()).hexdigest()
+    html = "é<p>" * 700_000
+    pages = spark.createDataFrame([(1, "http://a/", html), (2, "http://b/", html), (3, None, None)], "page_id long, url string, html string")
+    W.write_warc(pages, str(tmp_path / "w"))
+    rows = {r.page_id: r for r in W.page_records(W.read_warc(spark, str(tmp_path / "w"))).collect()}
+    size, digest = len(html.encode()), hashlib.sha1(html.encode()).hexdigest()
+    assert (rows[2].record_type, rows[2].payload_bytes, rows[2].payload_digest) == ("response", size, digest)
+    assert (rows[1].record_type, rows[1].payload_bytes, rows[1].payload_digest, rows[1].refers_to) == ("revisit", size, digest, 2)
+    assert rows[3].payload_bytes == 0
