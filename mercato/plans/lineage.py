@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.session import ensure_checkpoint_dir
+from mercato.session import stored
 
 # Stage order of the report.
 STAGES = ["source", "bronze", "silver", "feature", "store", "quality"]
@@ -134,14 +134,14 @@ def closure(spark: SparkSession, edges: DataFrame, max_depth: int | None = None)
     one edge, keeps every pair once and drops those that are known, so work
     grows with the pairs and not with the paths, and cycles end. Steps are
     written, one per hop of the longest shortest path."""
-    ensure_checkpoint_dir(spark)
-    step = edges.select(F.col("src").alias("via"), F.col("dst").alias("to")).distinct().checkpoint(eager=True)
+    step = stored(edges.select(F.col("src").alias("via"), F.col("dst").alias("to")).distinct(), "edges")
     newest = step.select(F.col("via").alias("ancestor"), F.col("to").alias("descendant"))
     found = newest.withColumn("hops", F.lit(1))
     hops = 1
     while max_depth is None or hops < max_depth:
         further = newest.join(step, F.col("descendant") == F.col("via")).select("ancestor", F.col("to").alias("descendant")).distinct()
-        newest = further.join(found.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti").checkpoint(eager=True)
+        newest = further.join(found.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti")
+        newest = stored(newest, "reach")
         if newest.isEmpty():
             break
         hops += 1

@@ -389,7 +389,7 @@ def spread_by_time(labels: DataFrame, snapshots: DataFrame, key: str, label_ts:
     partitions of (key, time), numbered in order by _p and pinned. Rows of one key
     are cut by time, rows of one time by their hash, so partitions are alike
     whatever the keys."""
-    from mercato.session import ensure_checkpoint_dir
+    from mercato.session import stored
 
     snap = F.struct(F.col("_t").alias("snapshot_ts"), *[F.col(c) for c in value_cols])
     s = snapshots.where(F.col(key).isNotNull() & F.col(snapshot_ts).isNotNull())
@@ -397,11 +397,10 @@ def spread_by_time(labels: DataFrame, snapshots: DataFrame, key: str, label_ts:
     own = labels.select(F.col(key).alias("_k"), F.col(label_ts).alias("_t"), F.struct(*[F.col(c) for c in labels.columns]).alias("_row"))
     s = s.select("_k", "_t", F.lit(0).alias("_kind"), "_snap", F.lit(None).cast(own.schema["_row"].dataType).alias("_row"))
     own = own.select("_k", "_t", F.lit(1).alias("_kind"), F.lit(None).cast(s.schema["_snap"].dataType).alias("_snap"), "_row")
-    ensure_checkpoint_dir(labels.sparkSession)
     events = s.unionByName(own)
     order = ["_k", "_t", "_kind", F.xxhash64("_snap", "_row")]
     ranged = events.repartitionByRange(partitions, *order) if partitions else events.repartitionByRange(*order)
-    return ranged.withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
+    return stored(ranged.withColumn("_p", F.spark_partition_id()), "as_of")
 
 
 def as_of_join(

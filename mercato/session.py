@@ -114,3 +114,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/mercato-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df, name: str = "step"):
+    """``df`` written as a table next to the checkpoints and read again: the lineage
+    is cut reliably and the rows are computed once."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
