@@ -158,6 +158,7 @@ def test_within_equals_the_distance():
         if rnd.random() < 0.5:
             b = a[:20] + rnd.choice(["", "b", "cab"]) + a[25:]
         d = distance(a, b)
+        assert D.letters_apart(a, b) <= d and distance(*D.trimmed(a, b)) == d
         assert D.within(a, b, d) and not (d and D.within(a, b, d - 1))
 
 
