@@ -69,6 +69,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a table of this run that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def free_name(taken: list[str], name: str) -> str:
     """``name``, with ``_`` behind it until no column of ``taken`` has it."""
     known = {c.lower() for c in taken}
