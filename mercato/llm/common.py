@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +84,24 @@ def free_name(taken: list[str], name: str) -> str:
     return name
 
 
+#: Where ``shared_path`` notes the paths it gives out, while a caller wants to know.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noted_paths() -> Iterator[list[str]]:
+    """The list of the shared paths given out within the block."""
+    paths: list[str] = []
+    _NOTED.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.remove(paths)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder."""
-    return scratch_dir(spark, name)
-
+    path = scratch_dir(spark, name)
+    for paths in _NOTED:
+        paths.append(path)
+    return path

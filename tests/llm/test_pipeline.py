@@ -33,7 +33,13 @@ def expected(rows):
     after = [(i, t if t is None else lines[i]) for i, t in named]
     after = [(i, t) for (i, t), (_, old) in zip(after, named) if t == old or normalised(t or "")]
     label = brute_components(brute_sets([r for r in after if r[0] != -1]))
-    near = [(i, t) for i, t in after if i == -1 or label[i] == i]
+    near, seen = [], set()
+    for i, t in after:  # one row of each class; rows without words are in none
+        if i == -1 or not normalised(t or ""):
+            near.append((i, t))
+        elif label[i] == i and i not in seen:
+            seen.add(i)
+            near.append((i, t))
     back = lambda out: sorted([(None if i == -1 else i, t) for i, t in out], key=str)
     return back(after), back(near), back([(i, t if t is None else S.redact(t)) for i, t in near])
 
