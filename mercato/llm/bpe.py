@@ -63,7 +63,8 @@ def byte_letters() -> list[str]:
 class WordBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_words: int = MOST_WORDS):
+        self.most_words = most_words
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -238,13 +239,13 @@ class WordBpe:
                 splits.append([p for p in _white_split(t) if p] if _odd_space(t) else t.split())
                 size += len(t)
                 i += 1
-            if len(self.chunks) > MOST_WORDS:
+            if len(self.chunks) > self.most_words:
                 often = set().union(*splits)
                 self.chunks = {c: v for c, v in self.chunks.items() if c in often}
             new = set(filterfalse(self.chunks.__contains__, chain.from_iterable(splits)))
             pieces = {c: self._pieces(c) for c in new}
             used = {w for p in pieces.values() for w in p if type(w) is str}
-            if len(self.words) > MOST_WORDS:
+            if len(self.words) > self.most_words:
                 self.words = {w: v for w, v in self.words.items() if w in used}
             words = self.words
             self._add_words(used.difference(words))
@@ -268,8 +269,8 @@ _odd_space = re.compile("[\x1c-\x1f]").search
 
 
 @lru_cache(maxsize=4)
-def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+def word_bpe(path: str, most_words: int = MOST_WORDS) -> WordBpe:
+    return WordBpe(path, most_words)
 
 
 def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

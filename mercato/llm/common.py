@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,11 +45,31 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def gives_back(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, the work of a task; behind it the worker returns to the system what
+    it has freed. Workers are reused, and without this the largest batch and memo
+    of every stage before would stay with them."""
+
+    @wraps(run)
+    def task(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return task
+
+
 def arrow_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """``df`` batch by batch through the function that ``make()`` builds once per
     task (compiled tables and memos live as long as the task)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @gives_back
+    def run(batches: Batches) -> Batches:
         fn = make()
         for b in batches:
             if b.num_rows:

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Memo, id_and_text, shared_path, stored
+from mercato.llm.common import Memo, gives_back, id_and_text, shared_path, stored
 from mercato.llm.links import Bloom, bits_for, bloom, components, list_links
 
 SHINGLE = 5
@@ -155,6 +155,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     """One row per document: id and size of its set, and the set itself unless
     the batch has had it."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: set[int] = set()
@@ -191,6 +192,7 @@ def _counts(sets: DataFrame) -> DataFrame:
     """(key, n): the filter key of a shingle and how often a part of a task has seen it in
     different sets, twice at least."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         seen: set[int] = set()
@@ -222,6 +224,7 @@ def _first_shingles(sets: DataFrame, late: Bloom, light: int) -> DataFrame:
     """(token, id) of the first shingles of every heavy set, each set once a
     batch; the hashes are cut short, as only a filter is made of them."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tokens, ids = [], []
@@ -258,6 +261,7 @@ def _postings(sets: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
     subsets of light sets (pos = their size); kind 2: histograms of the sets of
     kind 0. Each set comes once a batch."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in FOUND.split(", ")]
         for b in batches:
@@ -297,6 +301,7 @@ FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.li
 def _wanted_sets(sets: DataFrame, wanted: Bloom) -> DataFrame:
     """(id, s) of the sets that pass the filter, before anything is shuffled."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(wanted.has(b.column(0).to_numpy(zero_copy_only=False))))
@@ -307,6 +312,7 @@ def _wanted_sets(sets: DataFrame, wanted: Bloom) -> DataFrame:
 def _similar_pairs(both: DataFrame) -> DataFrame:
     """The (a, b) of rows (a, b, sa, sb) whose sets have the similarity."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -436,6 +442,7 @@ def _own_sets(plain: DataFrame, text: str) -> DataFrame:
     with_text = plain.withColumn("own_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in plain.schema.fields], T.StructField("own", T.LongType()), T.StructField("own_n", T.LongType())])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t.as_py()) for t in b.columns[-1]]

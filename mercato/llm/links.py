@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import stored
+from mercato.llm.common import gives_back, stored
 
 #: A list of up to this many ids is compared at once.
 LONG_LIST = 48
@@ -49,6 +49,7 @@ def components(links: DataFrame) -> DataFrame:
     return _by_rounds(edges)
 
 
+@gives_back
 def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Components of the links of one task: labels go down along the links and jump
     to their label's label until nothing moves."""

@@ -36,8 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.bpe import word_bpe
-from mercato.llm.common import id_and_text, materialize
+from mercato.llm.bpe import MOST_WORDS, word_bpe
+from mercato.llm.common import gives_back, id_and_text, materialize
 
 CAPACITY = 2048
 #: Windows of a group.
@@ -150,14 +150,16 @@ class _Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[c.split()[0] for c in PIECES.split(", ")])
 
 
-def pack(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, windows: int = WINDOWS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, windows: int = WINDOWS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, most_words: int = MOST_WORDS) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset) and, on request, the piece's ids as little-endian
-    unsigned 32-bit integers. Sequence ids run from 0 without gaps."""
+    unsigned 32-bit integers. Sequence ids run from 0 without gaps. A worker keeps the
+    ids of up to ``most_words`` words: fewer take less memory and more time."""
     end = END_ID.to_bytes(4, "little")
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = word_bpe(vocab_path)
+        bpe = word_bpe(vocab_path, most_words)
         packer = _Packer(TaskContext.get().partitionId(), capacity, windows)
         for b in batches:
             for lo in range(0, b.num_rows, 512):

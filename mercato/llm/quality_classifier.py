@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Memo, shared_path, stored
+from mercato.llm.common import Memo, gives_back, shared_path, stored
 
 #: Bound of the labelled sample.
 MOST_LABELLED = 20_000
@@ -127,6 +127,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, id_col: str,
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     sample = labelled_sample(docs, labels, most, id_col, text_col)
 
+    @gives_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sums = np.zeros((2, BUCKETS), dtype=np.int64)
@@ -143,6 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, id_col: s
     seen[0, at], seen[1, at] = counts.column("good").to_numpy(), counts.column("bad").to_numpy()
     ratios = np.log((seen[1] + 1) / (seen[1].sum() + BUCKETS)) - np.log((seen[0] + 1) / (seen[0].sum() + BUCKETS))
 
+    @gives_back
     def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(ratios)
         for b in batches:
@@ -178,6 +180,7 @@ def evidence(docs: DataFrame, model: Model | None, text_col: str, name: str) ->
     at = docs.columns.index(text_col)
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema.fields], T.StructField(name, T.DoubleType())])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None if model is None else Scorer(model.ratios)
         for b in batches:

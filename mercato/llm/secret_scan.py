@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import arrow_rows, id_and_text
+from mercato.llm.common import arrow_rows, gives_back, id_and_text
 
 #: Fixed by the query's contract, in the order of the kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -419,6 +419,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", n_chars_col: str = "
     at = docs.columns.index(text_col)
     has = n_chars_col in docs.columns
 
+    @gives_back
     def run(batches):
         for b in batches:
             old = b.column(at).to_pylist()
