@@ -10,11 +10,14 @@ DuckDB hashes the same; the library functions return full precision.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from mercato.session import bounded_tasks
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -27,7 +30,13 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bounded_tasks(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = query
         if sql is not None:
             ORACLE[name] = sql
         return fn
