@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from mercato.functions.columns import count_when, missing
 from mercato.operators.rules import TableSpec
+from mercato.session import stored
 
 
 def _pct(n: Column, total: Column) -> Column:
@@ -136,7 +137,8 @@ def profile_tables(
     )
     if tagged is None:
         return plain.select(*PROFILE_FIRST[:8], F.col("lo").alias("median_value"), "std_value", F.col("first_cardinality").alias("cardinality"))
-    counts = tagged.groupBy("tag", "slice", "s", "x").agg(F.count(F.lit(1)).alias("c"))
+    # written: the slices, the cardinalities and the medians all read them
+    counts = stored(tagged.groupBy("tag", "slice", "s", "x").agg(F.count(F.lit(1)).alias("c")), "profile")
     per_slice = counts.groupBy("tag", "slice").agg(F.count(F.lit(1)).alias("values"), F.sum("c").alias("c"))
     cards = per_slice.where(F.col("tag") % 2 == 1).select(F.col("tag").alias("of_card"), F.col("values").alias("card"))
     # the slice in which the running count reaches the rank: at most SLICES + 1 rows a column

@@ -83,3 +83,18 @@ def test_contract_check(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     got = {r.column_name: (r.present, r.null_count, r.status) for r in P.contract_check(df, ["a", "b", "c"]).collect()}
     assert got == {"a": (True, 0, "OK"), "b": (True, 1, "WARN"), "c": (False, None, "MISSING")}
+
+
+def test_profile_counts_the_values_once(spark, monkeypatch):
+    """Slices, cardinalities and medians read one written count of the tagged values."""
+    from mercato.operators import profile as PR
+    from mercato.operators.rules import TableSpec
+
+    written = []
+    plain = PR.stored
+    monkeypatch.setattr(PR, "stored", lambda df, name: (written.append(df.columns), plain(df, name))[1])
+    df = spark.createDataFrame([(i % 7, float(i % 5), "x" if i % 3 else None) for i in range(50)], "id long, v double, s string")
+    spec = TableSpec(source="t", column_types={"id": "long", "v": "double", "s": "string"}, numeric_cols=["v"], cardinality_cols=["id", "s"], pk=[])
+    rows = {r.column_name: r for r in PR.profile_tables({"t": df}, {"t": spec}).collect()}
+    assert written == [["tag", "slice", "s", "x", "c"]]
+    assert rows["v"].median_value == 2.0 and rows["id"].cardinality == 7 and rows["s"].cardinality == 1
