@@ -77,3 +77,17 @@ def test_replace_table_keeps_the_old_rows_when_the_write_fails(spark):
     K.replace_table(spark.table(name).withColumn("v", F.lit("x")), name)
     assert sorted(map(tuple, spark.table(name).collect())) == [(1, "x"), (2, "x")]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_split_batch_is_written_without_a_sort(spark, tmp_path):
+    """Good and bad rows are written side by side: the rows keep their order."""
+    from mercato.streaming import ingest as S
+
+    rows = [(i, "bad" if i % 3 == 0 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, _corrupt_record string").coalesce(1)
+    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    S.write_split(df, str(tmp_path / "t"), "1")
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 2
+    found = spark.read.parquet(str(tmp_path / "t"))
+    kinds = {k: sorted(r.id for r in found.where(F.col("kind") == k).collect()) for k in ("good", "bad")}
+    assert kinds == {"good": [i for i in range(3000) if i % 3], "bad": [i for i in range(3000) if i % 3 == 0]}
