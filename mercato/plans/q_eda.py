@@ -12,6 +12,7 @@ from mercato.plans import quality_sql as S
 from mercato.plans.oracle_views import with_views
 from mercato.plans.registry import R, finish, register
 from mercato.plans.rulesets import SPECS, SQL_VIEW
+from mercato.session import stored
 from mercato.sources import tables as T
 
 # Interaction weights of the test-data event types
@@ -375,6 +376,7 @@ def q_encode_purchases(spark, sf_dir):
     p = C.clean(T.purchases(spark, sf_dir, with_age_group=True), SPECS["purchases"]).select(
         "order_id", "line_number", "payment_method", "age_group", "quantity", "unit_price", "total_price"
     )
+    p = stored(p, "purchases")  # the codes and each bound read it again
     out = label_encode(p, {"payment_method": "payment_enc", "age_group": "age_enc"})
     out = min_max_normalize(out, ["unit_price", "total_price", "quantity"])
     out = log1p_columns(out, ["unit_price", "total_price"])

@@ -69,3 +69,17 @@ def test_exact_quantile_paths(spark):
         disc = df.agg(exact_quantile(df, "x", q)[0].alias("m")).first().m
         dist = spark.range(1).select(_distributed_quantile(df, "x", q).alias("m")).first().m
         assert disc == expected and dist == expected, (q, disc, dist, expected)
+
+
+def test_encode_purchases_cleans_once(spark, monkeypatch):
+    """The codes and the bounds read the cleaned rows from a table."""
+    from mercato.plans import q_eda
+    from mercato.plans.catalog import all_queries
+
+    written = []
+    plain = q_eda.stored
+    monkeypatch.setattr(q_eda, "stored", lambda df, name: (written.append(name), plain(df, name))[1])
+    out = all_queries()["encode_purchases"](spark, "/root/testdata/sf0.001")
+    assert written == ["purchases"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan.replace("Window [dense_rank", "")
