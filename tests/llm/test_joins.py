@@ -194,6 +194,34 @@ def test_lines_equal_brute_force(docs_of, monkeypatch, long_list):
     assert sum(r.n_dropped for r in out.values()) > 10
 
 
+@pytest.mark.parametrize(("cell", "most"), [(4, 10**6), (4, 40), (2, 0)])
+def test_cells_hold_the_pairs_of_long_lists(spark, monkeypatch, cell, most):
+    """Lists in one cell, in parts and classes of size, and left for pairs of blocks:
+    every near pair of different components meets, and postings are not copied by pairs of blocks."""
+    monkeypatch.setattr(D, "CELL", cell)
+    monkeypatch.setattr(D, "MOST_CELLED", most)
+    rnd = random.Random(8)
+    rows, base = [], [rnd.getrandbits(64) for _ in range(6)]
+    for i in range(160):
+        sim = rnd.choice(base)
+        for bit in rnd.sample(range(64), rnd.randrange(10)):
+            sim ^= 1 << bit
+        rows.append((rnd.choice([1, 1, 1, 2, 3]), i % 90, i, sim - (1 << 64) if sim >> 63 else sim, rnd.choice([5, 40, 41, 48, 50, 51, 60, 63, 80, 300])))
+    rows += [(9, 1000 + k, 1000 + k, rows[0][3], 50) for k in range(3)]
+    placed = spark.createDataFrame(rows, "token long, component long, id long, sim long, size int")
+    compared, left = D.in_cells(0.8)(placed)
+    got = {(r.a, r.b) for r in compared.collect()}
+    n = collections.Counter(r[0] for r in rows)
+    want = set()
+    for x in rows:
+        for y in rows:
+            apart = x[0] == y[0] and x[1] != y[1] and x[2] < y[2] and abs(x[4] - y[4]) <= 0.2 * max(x[4], y[4]) + 1e-9
+            if apart and n[x[0]] <= most and bin((x[3] ^ y[3]) & ((1 << 64) - 1)).count("1") <= D.DISTANCE:
+                want.add((x[2], y[2]))
+    assert got == want and (most == 0 or len(got) > 3)
+    assert (left is None) == (most == 10**6) and (left is None or left.count() == 120 * sum(k for k in n.values() if k > most))
+
+
 def test_line_tables(docs_of):
     same = "one two three four five six"
     rows = [(5, same), (3, f"{same}\nshort line\n{same}"), (None, None), (4, ""), (6, "ONE  two three four five six\nnew"), (7, "p 1 of 20 in all"), (8, "p 2 of 20 in all")]
