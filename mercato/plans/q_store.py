@@ -26,17 +26,17 @@ LOOKUP_AT = "2024-02-01 00:30:00"
 
 
 def _tables(spark, sf_dir):
-    """The three feature tables from one shared, checkpointed pair of
-    (user, item) pre-aggregates: each source is shuffled once."""
+    """The three feature tables from one shared, stored pair of (user, item)
+    pre-aggregates: each source is shuffled once, and each reader takes the
+    columns it needs."""
     from mercato.plans import features as FT
     from mercato.plans.q_features import REFERENCE_DATE, ROLES
-    from mercato.session import ensure_checkpoint_dir
+    from mercato.session import stored
 
-    ensure_checkpoint_dir(spark)
     clicks, purch, cat = T.clickstream(spark, sf_dir), T.purchases(spark, sf_dir), T.catalog(spark, sf_dir)
     shared = {
-        "clicks_ui": FT.click_pairs(clicks, ROLES, "ts").checkpoint(eager=True),
-        "purchases_ui": FT.purchase_pairs(purch).checkpoint(eager=True),
+        "clicks_ui": stored(FT.click_pairs(clicks, ROLES, "ts"), "click-pairs"),
+        "purchases_ui": stored(FT.purchase_pairs(purch), "purchase-pairs"),
     }
     uf = FT.user_features(clicks, purch, cat, REFERENCE_DATE, device_col="event_type", time_col="ts", roles=ROLES, **shared)
     itf = FT.item_features(clicks, purch, cat, T.signals(spark, sf_dir), roles=ROLES, **shared)
@@ -312,7 +312,8 @@ JOIN ({_ITEM_SQL}) i ON ui.item_id = i.item_id""",
 def q_serving_vectors(spark, sf_dir):
     t = _tables(spark, sf_dir)
     cand = t["user_item_features"][0].select("user_id", "item_id")
-    return finish(ST.serving_vectors(cand, t["user_features"][0], t["item_features"][0]))
+    # rounded once a user and an item, not once a pair
+    return ST.serving_vectors(cand, finish(t["user_features"][0]), finish(t["item_features"][0]))
 
 
 @register(

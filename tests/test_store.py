@@ -116,3 +116,27 @@ def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (10.0,)], "x double")
     got = {r.bin: r["count"] for r in E.histogram(df, "x", 2).collect()}
     assert got == {1: 1, 2: 2}
+
+
+def test_serving_vectors_read_stored_pairs(spark, tmp_path):
+    """The (user, item) pre-aggregates are tables read by column, and features are
+    rounded before the join, to the same values as behind it."""
+    from mercato.plans import q_store as QS
+    from mercato.plans.registry import finish
+
+    at = dt.datetime(2024, 1, 2, 3)
+    rows = {
+        "events": ([(k, at + dt.timedelta(hours=k), k % 4, ["view", "click", "signup", "purchase"][k % 4], 1.5, f'{{"k": {k % 5}}}') for k in range(40)], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+        "orders": ([(k, k % 4, at + dt.timedelta(days=k), "1-URGENT") for k in range(8)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(k % 8, k, k % 5, 1, 3.0, 10.0 / (k + 3), 0.07, 0.02, "R") for k in range(30)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string"),
+        "part": ([(k, f"p{k}", f"t{k % 2}", f"b{k % 3}", 7.0 / (k + 1), k + 1) for k in range(5)], "p_partkey long, p_name string, p_type string, p_brand string, p_retailprice double, p_size int"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = QS._tables(spark, str(tmp_path))
+    files = " ".join(t["user_item_features"][0].inputFiles())
+    assert "click-pairs" in files and "purchase-pairs" in files
+    got = QS.q_serving_vectors(spark, str(tmp_path))
+    want = finish(ST.serving_vectors(t["user_item_features"][0], t["user_features"][0], t["item_features"][0]))
+    assert got.columns == want.columns and got.count() == 20
+    assert got.agg(multiset_digest(got)).first()[0] == want.agg(multiset_digest(want)).first()[0]
