@@ -14,8 +14,9 @@ join runs over classes, so copies cost one row each.
   the threshold). The order puts shingles of long lists last, so a passage that
   many documents share is no candidate maker. Scanning the lists counts the
   first shingles that two sets have in common; the count and the sizes bound
-  the overlap from above. Candidates pass this bound, one by histograms of the
-  hashes (both lose no link) and are checked on their whole sets.
+  the overlap from above. Candidates pass this bound, one by sketches of the sets
+  (counts of their hashes, a twentieth of a set; both lose no link) and are checked
+  on their whole sets.
 
 The boundary between light and heavy is chosen by cost from the counts of sizes.
 Sets near the boundary do both, so that light and heavy partners meet.
@@ -50,7 +51,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Memo, gives_back, id_and_text, shared_path, stored
+from mercato.llm.common import Memo, forget, gives_back, id_and_text, shared_path, stored
 from mercato.llm.links import Bloom, bits_for, bloom, components, list_links
 
 SHINGLE = 5
@@ -244,7 +245,7 @@ def _first_shingles(sets: DataFrame, late: Bloom, light: int) -> DataFrame:
 #: bits of an unpacked one are zero).
 SHORT = 24
 
-FOUND = "kind int, token long, id long, n int, pos int, histogram array<smallint>"
+FOUND = "kind int, token long, id long, n int, pos int, histogram array<smallint>, sketch binary"
 
 #: Shingles of a set by the highest seven bits of their hashes. The sum of the
 #: smaller counts of two sets bounds their overlap from above; larger sets than
@@ -256,17 +257,35 @@ def histogram(s: np.ndarray) -> np.ndarray | None:
     return np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=128).astype(np.int16) if len(s) <= MOST_HISTOGRAM else None
 
 
+def sketch(s: np.ndarray) -> bytes | None:
+    """Counts of the shingles of a set by the highest bits of their hashes, a byte each, as
+    many that 2 to 4 shingles share one (and sets of over 512 shingles can be told
+    apart); None if a count passes its byte."""
+    bits = max(5, (len(s) // 4).bit_length())
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+def most_common(x: bytes, y: bytes) -> tuple[int, int]:
+    """The most shingles that sets of these sketches can have in common, and the sum
+    of their sizes. The longer sketch is added up to the counts of the shorter."""
+    p, q = (np.frombuffer(z, dtype=np.uint8).astype(np.int64) for z in (x, y))
+    width = min(len(p), len(q))
+    p, q = p.reshape(width, -1).sum(axis=1), q.reshape(width, -1).sum(axis=1)
+    return int(np.minimum(p, q).sum()), int(p.sum() + q.sum())
+
+
 def _postings(sets: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFrame:
     """kind 0: postings of heavy sets that another set may share; kind 1: the
-    subsets of light sets (pos = their size); kind 2: histograms of the sets of
-    kind 0. Each set comes once a batch."""
+    subsets of light sets (pos = their size); kind 2: histograms and sketches of the
+    sets of kind 0. Each set comes once a batch."""
 
     @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in FOUND.split(", ")]
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
-                kind, token, ids, size, pos, hists = [], [], [], [], [], []
+                kind, token, ids, size, pos, hists, sketches = [], [], [], [], [], [], []
 
                 def rows(k: int, t: list[int], i: int, n: int, p: list[int]) -> None:
                     kind.extend([k] * len(t))
@@ -275,6 +294,7 @@ def _postings(sets: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
                     size.extend([n] * len(t))
                     pos.extend(p)
                     hists.extend([None] * len(t))
+                    sketches.extend([None] * len(t))
 
                 for own, s in _each(b, lo, 1000):
                     n = len(s)
@@ -288,25 +308,47 @@ def _postings(sets: DataFrame, late: Bloom, shared: Bloom, light: int) -> DataFr
                         if len(may):
                             rows(0, first[may].view(np.int64).tolist(), own, n, may.tolist())
                             rows(2, [0], own, n, [0])
-                            hists[-1] = histogram(s)
+                            hists[-1], sketches[-1] = histogram(s), sketch(s)
                 if kind:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, hists), FOUND_KINDS)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, token, ids, size, pos, hists, sketches), FOUND_KINDS)], names=names)
 
     return _filled(sets).mapInArrow(run, FOUND)
 
 
-FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int16())]
+FOUND_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int16()), pa.binary()]
 
 
-def _wanted_sets(sets: DataFrame, wanted: Bloom) -> DataFrame:
-    """(id, s) of the sets that pass the filter, before anything is shuffled."""
+def _wanted(own: DataFrame, wanted: Bloom) -> DataFrame:
+    """The rows (id, s) that pass the filter, before anything is shuffled."""
 
     @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(wanted.has(b.column(0).to_numpy(zero_copy_only=False))))
 
-    return _filled(sets).mapInArrow(run, "id long, s binary")
+    return own.mapInArrow(run, "id long, s binary")
+
+
+def _may_pairs(both: DataFrame) -> DataFrame:
+    """The (a, b) of rows (a, b, sa, sb) whose sketches, if there are both, allow the
+    similarity."""
+
+    @gives_back
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                common, both = most_common(x, y) if x and y else (1, 0)
+                keep.append((NUM + DEN) * common >= NUM * both)
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def _with_both(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """(a, b, sa, sb): the pairs with what ``own`` (id, s) has of both."""
+    a, b = (own.select(F.col("id").alias(side), F.col("s").alias(f"s{side}")) for side in "ab")
+    return pairs.join(a, "a").join(b, "b")
 
 
 def _similar_pairs(both: DataFrame) -> DataFrame:
@@ -393,20 +435,24 @@ def set_classes(docs: DataFrame, light: int | None = None) -> tuple[DataFrame, D
     _postings(sets, late, shared, light).write.parquet(f"{path}/found")
     found = spark.read.parquet(f"{path}/found")
     postings = found.where("kind = 0").groupBy("token", "id").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    hists = found.where("kind = 2").groupBy("id").agg(F.min("n").alias("m"), F.first("histogram").alias("h"))
+    known = stored(found.where("kind = 2").groupBy("id").agg(F.min("n").alias("m"), F.first("histogram").alias("h"), F.first("sketch").alias("s")))
+    hists = known.select("id", "m", "h")
+    light_found = stored(light_links(found))
+
+    def ready(ids: DataFrame) -> None:
+        forget(spark, f"{path}/found")  # the postings are stored by now
+
+    def ends(pairs: DataFrame) -> Bloom:
+        return bloom(pairs.select(F.explode(F.array("a", "b")).alias("used")), "used", bits)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        x, y = (hists.select(*[F.col(c).alias(f"{side}_{c}") for c in hists.columns]) for side in "xy")
-        may = pairs.join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id")).where(_may_overlap("x", "y"))
-        pairs = stored(may.select("a", "b"))
-        used = pairs.select(F.explode(F.array("a", "b")).alias("used"))
-        own = _wanted_sets(sets, bloom(used, "used", bits)).groupBy("id").agg(F.first("s").alias("s"))
-        a = own.select(F.col("id").alias("a"), F.col("s").alias("sa"))
-        b = own.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-        return _similar_pairs(pairs.join(a, "a").join(b, "b"))
+        sketches = _wanted(known.select("id", "s"), ends(pairs))
+        pairs = stored(_may_pairs(_with_both(pairs, sketches)))
+        own = _wanted(_filled(sets), ends(pairs)).groupBy("id").agg(F.first("s").alias("s"))
+        return _similar_pairs(_with_both(pairs, own))
 
     narrow = (lambda x, y: NUM * F.greatest(F.col(f"{x}_n"), F.col(f"{y}_n")) <= DEN * F.least(F.col(f"{x}_n"), F.col(f"{y}_n")), _could_overlap, "n")
-    links = list_links(postings, _pair_filter, verify, "pos < 4", light_links(found), hists, _may_overlap, narrow)
+    links = list_links(postings, _pair_filter, verify, "pos < 4", light_found, hists, _may_overlap, narrow, ready)
     return rows, components(links)
 
 

@@ -291,3 +291,32 @@ def test_removed_lines_go_by_row(docs_of):
     assert sorted(r.text for r in out if r.doc_id == 7) == ["other", "quite another text"]
     assert len(out) == len(rows) and all(r.n_dropped <= 3 for r in out)
     assert sum("first line of all here" in r.text for r in out) == 20
+
+
+def test_whole_sets_of_unlike_long_texts_are_not_fetched(docs_of, monkeypatch):
+    """Long texts with seven tenths in common meet by their first shingles and pass the
+    coarse counts; the sketches tell them apart, so no whole set is shuffled."""
+    rnd = random.Random(5)
+    text = [f"w{rnd.randrange(10**6)}" for _ in range(4000)]
+    other = text[:2800] + [f"v{rnd.randrange(10**6)}" for _ in range(1200)]
+    near = text[:3900] + [f"x{k}" for k in range(100)]
+    compared, known, similar = [], [], J._similar_pairs
+    may = J._may_pairs
+    monkeypatch.setattr(J, "_may_pairs", lambda both: known.extend(both.select("a", "b").collect()) or may(both))
+    monkeypatch.setattr(J, "_similar_pairs", lambda both: compared.extend(both.select("a", "b").collect()) or similar(both))
+    rows = [(1, " ".join(text)), (2, " ".join(other))]
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs_of(rows)).collect()}
+    assert got == {1: 1, 2: 2} and known and not compared
+    rows.append((3, " ".join(near)))
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs_of(rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1} and compared
+
+
+def test_sketches_never_fall_below_the_overlap():
+    rng = np.random.default_rng(3)
+    for n, m in ((1, 1), (3, 4), (40, 50), (900, 1100), (1023, 1024), (5000, 4100), (9, 3000)):
+        every = np.unique(rng.integers(0, 1 << 64, n + m, dtype=np.uint64))
+        x, y = np.sort(every[:n]), np.sort(every[n // 2 : n // 2 + m])
+        most, sizes = J.most_common(J.sketch(x), J.sketch(y))
+        assert len(np.intersect1d(x, y)) <= most and sizes == len(x) + len(y)
+    assert J.sketch(np.arange(300, dtype=np.uint64)) is None  # a count passes its byte
