@@ -35,7 +35,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from mercato.llm.common import arrow_rows, id_and_text
+from mercato.llm.common import arrow_rows, id_and_text, kept_in_stage
 
 LONG_WORD = 200
 #: Distinct words kept by a task, and letters of text encoded at once.
@@ -225,8 +225,9 @@ class WordBpe:
             at = m.end()
         return out + self._split(chunk[at:])
 
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts as little-endian unsigned 32-bit integers.
+    def encode_many(self, texts: list[str], at_once: int = TEXTS_AT_ONCE) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers, of about
+        ``at_once`` letters at a time.
 
         No merge, letter or special string spans white space, so the chunks
         between it are encoded one by one, each new one once."""
@@ -234,7 +235,7 @@ class WordBpe:
         i = 0
         while i < len(texts):
             splits, size = [], 0
-            while i < len(texts) and size < TEXTS_AT_ONCE:
+            while i < len(texts) and size < at_once:
                 t = texts[i]
                 splits.append([p for p in _white_split(t) if p] if _odd_space(t) else t.split())
                 size += len(t)
@@ -273,6 +274,15 @@ def word_bpe(path: str, most_words: int = MOST_WORDS) -> WordBpe:
     return WordBpe(path, most_words)
 
 
+@lru_cache(maxsize=1)
+def stage_bpe(path: str, most_words: int) -> WordBpe:
+    """The same for one stage: a worker that begins with another one drops it."""
+    return WordBpe(path, most_words)
+
+
+kept_in_stage(stage_bpe.cache_clear)
+
+
 def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids binary, decoded): the token ids of every whole text as
     little-endian unsigned 32-bit integers and the text they decode to."""

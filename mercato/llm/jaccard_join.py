@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import Memo, forget, gives_back, id_and_text, shared_path, stored
+from mercato.llm.common import Memo, forget, gives_back, id_and_text, kept_in_stage, shared_path, stored
 from mercato.llm.links import Bloom, bits_for, bloom, components, list_links
 
 SHINGLE = 5
@@ -95,6 +95,7 @@ def index_length(n):
 
 
 _word_hash = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 100_000)
+kept_in_stage(_word_hash.clear)
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 

@@ -2,6 +2,7 @@ import pytest
 from llm_brute import brute_components, brute_lines, brute_sets
 
 import corpus_pipeline as C
+from mercato.llm import common
 from mercato.llm import secret_scan as S
 from mercato.llm.line_dedup import normalised
 from mercato.llm.packing import pack
@@ -76,3 +77,22 @@ def test_stages_equal_brute_force(spark, vocab, tables):
 
 def test_pipeline_of_an_empty_table(spark, vocab, tables):
     assert C.run(spark, tables([], "none")).count() == 0
+
+
+def test_a_worker_drops_the_memos_of_another_stage(monkeypatch):
+    dropped = []
+    monkeypatch.setattr(common, "_KEPT_MEMOS", [])
+    monkeypatch.setattr(common, "_FILLED_BY", [])
+    common.kept_in_stage(lambda: dropped.append(True))
+    common.begin_stage(3)
+    common.begin_stage(3)
+    assert not dropped
+    common.begin_stage(4)
+    assert len(dropped) == 1
+
+
+def test_packing_in_small_parts_is_the_same(docs_of, vocab):
+    path = tokenizer_file(WORD_VOCAB)
+    texts = [(i, " ".join(f"word{i * k}" for k in range(5 * i))) for i in range(60)] + [(90, None), (91, "")]
+    want = sorted(map(tuple, pack(docs_of(texts), path).collect()))
+    assert sorted(map(tuple, pack(docs_of(texts), path, most_words=7, rows_at_once=3, letters_at_once=50).collect())) == want
