@@ -222,6 +222,39 @@ def test_cells_hold_the_pairs_of_long_lists(spark, monkeypatch, cell, most):
     assert (left is None) == (most == 10**6) and (left is None or left.count() == 120 * sum(k for k in n.values() if k > most))
 
 
+@pytest.mark.parametrize(("cell", "most"), [(8, 10**6), (10**6, 10**6)])
+def test_cells_verify_their_pairs(spark, monkeypatch, cell, most):
+    """With texts a cell gives links alone, no row for each near pair, enough for the
+    components of all links; pairs that share several anchors count once."""
+    monkeypatch.setattr(D, "CELL", cell)
+    monkeypatch.setattr(D, "MOST_CELLED", most)
+    rnd = random.Random(4)
+    lines = []
+    for i in range(120):
+        own = list("abcde" + "".join(rnd.choice("xyz") for _ in range(5)) * 3 + "vwxyz") if i % 3 else list("abcde" + "m" * 15 + "vwxyz")
+        own[rnd.randrange(6, 18)] = rnd.choice("xym")
+        lines.append("".join(own))
+    texts = dict(enumerate(dict.fromkeys(lines)))
+    ends = {i: D.anchors(t) for i, t in texts.items()}
+    sim = dict(zip(texts, D.simhashes([[t] for t in texts.values()]).view("int64").tolist()))
+    placed = spark.createDataFrame([(t, i, i, sim[i], len(texts[i])) for i in texts for t in ends[i]], "token long, component long, id long, sim long, size int")
+    known = spark.createDataFrame(list(texts.items()), "key long, text string")
+    links, left = D.in_cells(0.8, lambda: known)(placed)
+    got = [(r.a, r.b) for r in links.collect()]
+    near = {(i, j) for i in texts for j in texts if i < j and set(ends[i]) & set(ends[j]) and ((sim[i] ^ sim[j]) & ((1 << 64) - 1)).bit_count() <= D.DISTANCE}
+    want = {(i, j) for i, j in near if D.similar(texts[i], texts[j], 0.8)}
+
+    def groups(pairs):
+        of = {i: i for i in texts}
+        for _ in texts:
+            for i, j in pairs:
+                of[i] = of[j] = min(of[i], of[j])
+        return of
+
+    assert left is None and set(got) <= want and len(got) == len(set(got)) and groups(got) == groups(want)
+    assert 0 < len(got) < len(want) < len(near) and len(set(groups(want).values())) > 1
+
+
 def test_line_tables(docs_of):
     same = "one two three four five six"
     rows = [(5, same), (3, f"{same}\nshort line\n{same}"), (None, None), (4, ""), (6, "ONE  two three four five six\nnew"), (7, "p 1 of 20 in all"), (8, "p 2 of 20 in all")]
