@@ -28,17 +28,18 @@ import json
 import re
 import unicodedata
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from mercato.llm.common import arrow_rows, id_and_text, kept_in_stage
 
 LONG_WORD = 200
-#: Distinct words kept by a task, and letters of text encoded at once.
+#: Distinct words kept by a task, and bytes of text encoded at once.
 MOST_WORDS = 600_000
 TEXTS_AT_ONCE = 5_000_000
 NO_PAIR = 1 << 40
@@ -85,7 +86,7 @@ class WordBpe:
         pattern = next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split")
         self.split = regex.compile(pattern)
         # the same pattern, with the classes as they are among ASCII letters
-        self.split_ascii = re.compile(pattern.replace(r"[\p{L}]", "[A-Za-z]").replace(r"[\p{N}]", "[0-9]").replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"), re.ASCII)
+        self.split_ascii = re.compile(pattern.replace(r"[\p{L}]", "[A-Za-z]").replace(r"[\p{N}]", "[0-9]").replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").encode(), re.ASCII)
         size = max([*vocab.values(), *self.specials.values()]) + 1
         names = [""] * size
         for t, i in [*vocab.items(), *self.specials.items()]:
@@ -102,8 +103,8 @@ class WordBpe:
         self.first_ids = np.array([self.first[c] for c in self.letters], dtype=np.int64)
         self.last_ids = np.array([self.last[c] for c in self.letters], dtype=np.int64)
         self.all_letters = bool((self.first_ids >= 0).all() and (self.last_ids >= 0).all())
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.chunks: dict[bytes, bytes] = {}
 
     # -- encoding ---------------------------------------------------------
     def encode_word(self, word: str) -> tuple[int, ...]:
@@ -191,68 +192,94 @@ class WordBpe:
         done(np.ones(len(row), dtype=bool))
         return out
 
-    def _add_words(self, words: set[str]) -> None:
-        by_length: dict[int, list[tuple[str, bytes]]] = {}
+    def _add_words(self, words: set[bytes]) -> None:
+        by_length: dict[int, list[bytes]] = {}
         for w in words:
-            b = w.encode("utf-8", "surrogatepass")
-            by_length.setdefault(len(b), []).append((w, b))
+            by_length.setdefault(len(w), []).append(w)
         for n, group in by_length.items():
             if n > LONG_WORD or len(group) < 8 or not self.all_letters:
-                for w, _ in group:
-                    self.words[w] = np.array(self.encode_word(w), dtype="<u4").tobytes()
+                for w in group:
+                    self.words[w] = np.array(self.encode_word(w.decode("utf-8", "surrogatepass")), dtype="<u4").tobytes()
             else:
                 rows = max(1, (1 << 19) // n)
                 for i in range(0, len(group), rows):
                     some = group[i : i + rows]
-                    self.words.update(zip([w for w, _ in some], self._encode_rows([b for _, b in some])))
+                    self.words.update(zip(some, self._encode_rows(some)))
 
-    def _split(self, text: str) -> list[str]:
+    def _split(self, text: str) -> list[bytes]:
         if text.isascii():
-            low = text.lower()
-            return [low] if low.isalpha() else self.split_ascii.findall(low)
+            return self.split_ascii.findall(text.lower().encode())
         # letter by letter, as the library does: no final sigma
-        return self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-
-    def _pieces(self, chunk: str) -> list[str | bytes]:
-        """Words of a chunk between white space; special strings as their ids."""
-        if "<" not in chunk or self.special_re is None or not self.special_re.search(chunk):
-            return self._split(chunk)
-        out: list[str | bytes] = []
-        at = 0
-        for m in self.special_re.finditer(chunk):
-            out += self._split(chunk[at : m.start()])
-            out.append(self.specials[m[0]].to_bytes(4, "little"))
-            at = m.end()
-        return out + self._split(chunk[at:])
-
-    def encode_many(self, texts: list[str], at_once: int = TEXTS_AT_ONCE) -> list[bytes]:
+        found = self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        return [w.encode("utf-8", "surrogatepass") for w in found]
+
+    def _pieces(self, chunk: bytes) -> list[bytes | int]:
+        """Words of a chunk without white space of ASCII; special strings as their ids."""
+        special = self.special_re is not None and b"<" in chunk
+        if not special and chunk.isascii():
+            return self.split_ascii.findall(chunk.lower())
+        out: list[bytes | int] = []
+        for text in _white_split(chunk.decode("utf-8", "surrogatepass")):
+            at = 0
+            for m in self.special_re.finditer(text) if special else ():
+                out += self._split(text[at : m.start()])
+                out.append(self.specials[m[0]])
+                at = m.end()
+            out += self._split(text[at:])
+        return out
+
+    def _chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of different chunks without white space of ASCII, each new one encoded once."""
+        if len(self.chunks) > self.most_words:
+            often = set(chunks)
+            self.chunks = {c: v for c, v in self.chunks.items() if c in often}
+        ids = list(map(self.chunks.get, chunks))
+        new = [i for i, own in enumerate(ids) if own is None]
+        pieces: list[bytes | list[bytes | int]] = []
+        used: set[bytes] = set()
+        for i in new:
+            c = chunks[i]
+            if c.isalpha():  # letters of ASCII alone: one word
+                p = c.lower()
+                used.add(p)
+            else:
+                p = self._pieces(c)
+                used.update([w for w in p if type(w) is bytes])
+            pieces.append(p)
+        if len(self.words) > self.most_words:
+            self.words = {w: v for w, v in self.words.items() if w in used}
+        words = self.words
+        self._add_words(used.difference(words))
+        for i, p in zip(new, pieces):
+            own = words[p] if type(p) is bytes else b"".join([words[w] if type(w) is bytes else w.to_bytes(4, "little") for w in p])
+            ids[i] = self.chunks[chunks[i]] = own
+        return ids
+
+    def encode_many(self, texts: list[str] | pa.Array, at_once: int = TEXTS_AT_ONCE) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers, of about
-        ``at_once`` letters at a time.
+        ``at_once`` bytes of text at a time.
 
         No merge, letter or special string spans white space, so the chunks
-        between it are encoded one by one, each new one once."""
+        between it are encoded one by one, each different one of these texts once;
+        the ids of a text are those of its chunks, gathered as one column."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([t.encode("utf-8", "surrogatepass") for t in texts], pa.large_binary()).view(pa.large_string())
+        plain = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         out: list[bytes] = []
-        i = 0
-        while i < len(texts):
-            splits, size = [], 0
-            while i < len(texts) and size < at_once:
-                t = texts[i]
-                splits.append([p for p in _white_split(t) if p] if _odd_space(t) else t.split())
-                size += len(t)
-                i += 1
-            if len(self.chunks) > self.most_words:
-                often = set().union(*splits)
-                self.chunks = {c: v for c, v in self.chunks.items() if c in often}
-            new = set(filterfalse(self.chunks.__contains__, chain.from_iterable(splits)))
-            pieces = {c: self._pieces(c) for c in new}
-            used = {w for p in pieces.values() for w in p if type(w) is str}
-            if len(self.words) > self.most_words:
-                self.words = {w: v for w, v in self.words.items() if w in used}
-            words = self.words
-            self._add_words(used.difference(words))
-            self.chunks.update((c, b"".join([words[w] if type(w) is str else w for w in p])) for c, p in pieces.items())
-            known = self.chunks.__getitem__
-            out += [b"".join(map(known, s)) for s in splits]
+        lo = 0
+        while lo < len(texts):
+            before = ends[lo - 1] if lo else 0
+            hi = min(int(np.searchsorted(ends, before + at_once)) + 1, len(texts))
+            chunks = pc.ascii_split_whitespace(texts.slice(lo, hi - lo))
+            coded = chunks.flatten().dictionary_encode()
+            known = pa.array(self._chunk_ids(coded.dictionary.view(plain).to_pylist()), pa.large_binary())
+            ids = known.take(coded.indices)
+            _, starts, data = ids.buffers()
+            at = np.frombuffer(starts, dtype=np.int64)[chunks.offsets.to_numpy()].tolist() if len(ids) else [0] * (hi - lo + 1)
+            raw = memoryview(data) if data is not None else b""
+            out += [bytes(raw[i:j]) for i, j in zip(at, at[1:])]
+            lo = hi
         return out
 
     def encode(self, text: str) -> bytes:
@@ -266,7 +293,6 @@ class WordBpe:
 
 
 _white_split = re.compile(f"[{WHITE}]+").split
-_odd_space = re.compile("[\x1c-\x1f]").search
 
 
 @lru_cache(maxsize=4)
@@ -291,7 +317,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
         bpe = word_bpe(vocab_path)
 
         def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = bpe.encode_many(b.column(1).to_pylist())
+            ids = bpe.encode_many(b.column(1))
             return pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.binary()), pa.array([bpe.decode(i).decode() for i in ids], pa.string())],
                 names=["doc_id", "ids", "decoded"],
@@ -313,7 +339,7 @@ def bpe_digests(docs: DataFrame, vocab_path: str) -> DataFrame:
 
         def fn(b: pa.RecordBatch) -> pa.RecordBatch:
             n, ids_hex, dec_hex = [], [], []
-            for ids in bpe.encode_many(b.column(1).to_pylist()):
+            for ids in bpe.encode_many(b.column(1)):
                 n.append(len(ids) // 4)
                 ids_hex.append(sha(ids).hexdigest())
                 dec_hex.append(sha(bpe.decode(ids)).hexdigest())

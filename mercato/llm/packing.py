@@ -150,11 +150,11 @@ class _Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[c.split()[0] for c in PIECES.split(", ")])
 
 
-def pack(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, windows: int = WINDOWS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, most_words: int | None = None, rows_at_once: int = 512, letters_at_once: int = TEXTS_AT_ONCE) -> DataFrame:
+def pack(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, windows: int = WINDOWS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, most_words: int | None = None, rows_at_once: int = 4096, letters_at_once: int = TEXTS_AT_ONCE) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset) and, on request, the piece's ids as little-endian
     unsigned 32-bit integers. Sequence ids run from 0 without gaps. A worker encodes
-    ``rows_at_once`` texts or some ``letters_at_once`` letters at a time and keeps the
+    ``rows_at_once`` texts or some ``letters_at_once`` bytes of text at a time and keeps the
     ids of up to ``most_words`` words, if given, and only for this stage: fewer take
     less memory and more time."""
     end = END_ID.to_bytes(4, "little")
@@ -166,7 +166,7 @@ def pack(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, windows: in
         for b in batches:
             for lo in range(0, b.num_rows, rows_at_once):
                 part = b.slice(lo, rows_at_once)
-                ids = bpe.encode_many(part.column(1).to_pylist(), letters_at_once)
+                ids = bpe.encode_many(part.column(1), letters_at_once)
                 for doc, own in zip(part.column(0).to_pylist(), ids):
                     packer.add(doc, own + end)
                 yield packer.taken(with_ids)

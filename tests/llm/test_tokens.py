@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from mercato.llm.bpe import LONG_WORD, bpe_digests, encode_decode, word_bpe
@@ -36,6 +37,19 @@ def test_bpe_equals_the_library(libraries, vocab):
         assert bpe.decode(ids).decode() == lib.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_of_columns(vocab):
+    """A column of texts is encoded as it is, whole or sliced and some texts at a time, as its texts one by one."""
+    bpe = word_bpe(vocab("word_bpe_49k.json"))
+    some = [*texts(300, 5), "a\u2028B\x1fc\u3000<|endoftext|>\u00a0d", "\ud800 x"]
+    want = [bpe.encode(t) for t in some]
+    assert bpe.encode_many(some, 200) == bpe.encode_many(some) == want
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(some[:-1], kind)
+        assert bpe.encode_many(column) == bpe.encode_many(column, 50) == want[:-1]
+        assert bpe.encode_many(column.slice(7, 90), 100) == want[7:97]
+        assert bpe.encode_many(column.slice(0, 0)) == [] and bpe.encode_many(pa.array(["", " \n"], kind)) == [b"", b""]
+
+
 def test_rank_arrays_heap_and_rows_agree(vocab):
     bpe = word_bpe(vocab("word_bpe_49k.json"))
     rnd = random.Random(3)
