@@ -197,55 +197,60 @@ def rule_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def _row_digest(df: DataFrame) -> list[Column]:
-    """128 bits of a row, equal for equal rows: two hashes of all values and of
-    which are NULL (a hash passes over NULLs)."""
+def _row_digest(df: DataFrame) -> Column:
+    """64 bits of a row, equal for equal rows: a hash of all values and of which are
+    NULL (it passes over NULLs)."""
     values = [F.col(f.name) + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name) for f in df.schema.fields]
     nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in df.columns])
-    return [F.xxhash64(nulls, *values).alias("__d1"), F.xxhash64(F.lit("second"), *values, nulls).alias("__d2")]
+    return F.xxhash64(nulls, *values)
+
+
+#: Bits of the filter of repeated digests: 8 MB, whatever their number.
+FILTER_BITS = 26
+
+
+def _marks(digest: Column) -> tuple[Column, Column]:
+    """The word of the filter that a digest is in, and its bit there."""
+    place = digest.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    return F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
 
 
 def duplicate_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Full-row duplicates (NULL-safe), the NULL-skipping figure of
     ``countDistinct(*cols)`` and primary-key duplicates, with statuses.
 
-    Rows are shuffled as key and 128-bit digest, counted in place before; no row is
-    expanded. Rows whose digest is alone are distinct; only those that share
-    key and digest with another are compared in full."""
+    Rows are shuffled once, as key and 64-bit digest, and counted. Rows whose key and
+    digest are alone are distinct. Of the others the digests are marked in a filter of
+    fixed size, and only rows that it lets pass are shuffled and compared in full; the
+    rows that it stops are counted by their digests."""
     cols = df.columns
     nulls = F.lit(False)
     for c in cols:
         nulls = nulls | F.col(c).isNull()
-    keyed = df.withColumn("__nulls", nulls).withColumns({f"__k{i}": F.col(c) for i, c in enumerate(spec.pk)})
+    keyed = df.withColumn("__nulls", nulls).withColumn("__d", _row_digest(df))
     keys = [f"__k{i}" for i in range(len(spec.pk))]
-    digests = keyed.select(*keys, "__nulls", *_row_digest(df))
-    groups = digests.groupBy(*keys, "__nulls", "__d1", "__d2").agg(F.count(F.lit(1)).alias("n"))
-    whole = F.lit(True)
-    for k in keys:
-        whole = whole & F.col(k).isNotNull()
-    once = F.col("n") == 1
-    by_key = groups.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
-        F.count_if(once).alias("rows_once"),
-        F.count_if(once & ~F.col("__nulls")).alias("whole_once"),
-        F.count_if(~once).alias("repeated"),
-    )
-    found = by_key.agg(
+    digests = keyed.select(*[F.col(c).alias(k) for c, k in zip(spec.pk, keys)], "__nulls", "__d")
+    groups = stored(digests.groupBy(*keys, "__nulls", "__d").agg(F.count(F.lit(1)).alias("n")), "digests")
+    found = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum("rows_once"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("whole_once"), F.lit(0)).alias("whole"),
-        F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated"),
-        F.count_if(whole).alias("keys"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("__nulls")).alias("whole"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
     ).first()
     rows, whole_rows = found.rows, found.whole
+    word, bit = _marks(F.col("__d"))
     if found.repeated:
-        # the rows behind shared digests, compared by all their values
-        shared = groups.where(~once).select("__d1", "__d2")
-        alike = keyed.select(*cols, "__nulls", *_row_digest(df)).join(shared, ["__d1", "__d2"], "left_semi")
-        exact = alike.groupBy(*cols, "__nulls").agg(F.count(F.lit(1)).alias("n"))
-        more = exact.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("__nulls")).alias("whole")).first()
-        rows, whole_rows = rows + more.rows, whole_rows + more.whole
-    pk = max(0, found.total - found.keys) if spec.pk else 0
+        marked = groups.where("n > 1").groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+        marked = F.broadcast(stored(marked, "marked"))
+        passes = F.col("__bits").bitwiseAND(bit) != 0
+        figures = (F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("__nulls")).alias("whole"))
+        passed = groups.join(marked, word == F.col("__word")).where(passes).agg(*figures).first()
+        # the rows that pass, compared by all their values
+        alike = keyed.join(marked, word == F.col("__word")).where(passes)
+        more = alike.groupBy(*cols, "__nulls").agg(F.count(F.lit(1)).alias("n")).agg(*figures).first()
+        rows, whole_rows = rows - passed.rows + more.rows, whole_rows - passed.whole + more.whole
+    n_keys = groups.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).select(*keys).distinct().count() if keys else 0
+    pk = max(0, found.total - n_keys) if spec.pk else 0
     compat = max(0, found.total - whole_rows)
     out = (spec.source, found.total, found.total - rows, compat, pk, "WARN" if compat else "PASS", "WARN" if pk else "PASS")
     return df.sparkSession.createDataFrame([out], DUPLICATES)

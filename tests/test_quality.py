@@ -98,3 +98,32 @@ def test_profile_counts_the_values_once(spark, monkeypatch):
     rows = {r.column_name: r for r in PR.profile_tables({"t": df}, {"t": spec}).collect()}
     assert written == [["tag", "slice", "s", "x", "c"]]
     assert rows["v"].median_value == 2.0 and rows["id"].cardinality == 7 and rows["s"].cardinality == 1
+
+
+def test_duplicate_report_compares_in_full_only_what_may_be_repeated(spark, monkeypatch):
+    """Counts as by brute force, with equal digests of unlike rows and a filter that lets
+    much pass; rows that are alone are not shuffled in full."""
+    from mercato.operators import profile as PR
+
+    rows = [(k, k % 7, "x" * 40 + str(k), None if k % 5 == 0 else 0.5) for k in range(400)]
+    rows += rows[::10] + [(3, 3, "other", 0.5), (None, 1, "n", 0.5), (None, 1, "n", 0.5), (None, 2, "n", -0.0), (None, 2, "n", 0.0), (9, None, "m", 1.0)]
+    df = spark.createDataFrame(rows, "id long, part int, v string, w double")
+    spec = TableSpec(source="t", pk=["id", "part"])
+    keys = {(r[0], r[1]) for r in rows if None not in r[:2]}
+    want = (len(rows), len(rows) - len(set(rows)), len(rows) - len({r for r in rows if None not in r}), len(rows) - len(keys))
+    written = []
+    plain = PR.stored
+    monkeypatch.setattr(PR, "stored", lambda d, name: (written.append((name, d.columns)), plain(d, name))[1])
+
+    def figures(of):
+        return tuple(PR.duplicate_report(of, spec).first())[1:5]
+
+    assert figures(df) == want
+    assert written == [("digests", ["__k0", "__k1", "__nulls", "__d", "n"]), ("marked", ["__word", "__bits"])]
+    for bits, digest in ((7, None), (26, F.lit(5).cast("long")), (26, F.pmod(F.xxhash64("id", "part"), F.lit(3)))):
+        with monkeypatch.context() as m:
+            m.setattr(PR, "FILTER_BITS", bits)
+            if digest is not None:
+                m.setattr(PR, "_row_digest", lambda _, d=digest: d)
+            assert figures(df) == want
+    assert figures(df.limit(0)) == (0, 0, 0, 0)
