@@ -234,6 +234,23 @@ def with_ingest_metadata(
     return out.drop(path_col) if path_col else out
 
 
+#: A file of more bytes is not handed over as one row, but read as a stream.
+MOST_ROW_BYTES = 64 << 20
+
+
+def _streamed_md5(spark: SparkSession, path: str) -> str:
+    """The md5 of a file of any size, read piece by piece by the driver's JVM: md5 is
+    a chain over all bytes, so that tasks cannot share a file, and a task gets a
+    file only as one row in memory (2 GiB at most)."""
+    jvm = spark._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.md5Hex(stream)
+    finally:
+        stream.close()
+
+
 def asset_fingerprints(spark: SparkSession, assets: DataFrame, base: str, path_col: str = "path") -> DataFrame:
     """MD5 and size (KB, 1 place) of each asset path under ``base``; a
     missing asset gives ``FILE_NOT_FOUND`` and 0. A folder asset (a Spark
@@ -241,7 +258,8 @@ def asset_fingerprints(spark: SparkSession, assets: DataFrame, base: str, path_c
     digests. The listing under ``base`` reads no content; files are matched to
     assets by two equi-joins (the file path itself, or its parent folder), never
     by a prefix scan, and only files of assets are opened. ``assets`` is a
-    list of names: its matched files are collected to be opened."""
+    list of names: its matched files are collected to be opened, those of up to
+    ``MOST_ROW_BYTES`` by tasks, larger ones as streams, whatever their size."""
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -252,11 +270,12 @@ def asset_fingerprints(spark: SparkSession, assets: DataFrame, base: str, path_c
     a = assets.select(F.regexp_replace(F.col(path_col), "^file:", "").alias("asset")).distinct()
     matched = a.join(listed, a.asset == listed.file).select("asset", "path", "length")
     matched = matched.unionByName(a.join(listed, a.asset == listed.parent).select("asset", "path", "length"))
-    paths = [r.path for r in matched.select("path").distinct().collect()]
-    if paths:
-        content = spark.read.format("binaryFile").load(paths).select("path", F.md5("content").alias("md5"))
-    else:
-        content = spark.createDataFrame([], "path string, md5 string")
+    files = matched.select("path", "length").distinct().collect()
+    most = min(MOST_ROW_BYTES, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
+    small = [r.path for r in files if r.length <= most]
+    content = spark.createDataFrame([(r.path, _streamed_md5(spark, r.path)) for r in files if r.length > most], "path string, md5 string")
+    if small:
+        content = content.unionByName(spark.read.format("binaryFile").load(small).select("path", F.md5("content").alias("md5")))
     agg = matched.join(content, "path").groupBy("asset").agg(
         F.array_sort(F.collect_list("md5")).alias("_parts"),
         F.sum("length").alias("_bytes"),

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import math
 import random
 import tempfile
@@ -63,6 +64,30 @@ def test_fingerprints(spark):
     assert got[f"{base}/missing.txt"] == ("FILE_NOT_FOUND", 0.0)
 
 
+def test_asset_fingerprints_of_files_too_large_for_a_row(spark, tmp_path, monkeypatch):
+    texts = {"large one.bin": bytes(range(256)) * 700, "folder/part-0": b"x" * 90_000, "folder/part-1": b"y"}
+    for name, data in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    md5 = {name: hashlib.md5(data).hexdigest() for name, data in texts.items()}
+    folder = hashlib.md5(",".join(sorted([md5["folder/part-0"], md5["folder/part-1"]])).encode()).hexdigest()
+    want = {"large one.bin": (md5["large one.bin"], 175.0), "folder": (folder, 87.9), "none": ("FILE_NOT_FOUND", 0.0)}
+    assets = spark.createDataFrame([(f"{tmp_path}/{name}",) for name in want], "path string")
+
+    def found():
+        return {r.path.removeprefix(f"{tmp_path}/"): (r.checksum, r.size_kb) for r in L.asset_fingerprints(spark, assets, str(tmp_path)).collect()}
+
+    assert found() == want
+    key = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(key, "1000")  # stands for the 2 GiB that Spark hands over as a row
+    try:
+        assert found() == want
+    finally:
+        spark.conf.unset(key)
+    monkeypatch.setattr(L, "MOST_ROW_BYTES", 0)
+    assert found() == want
+
+
 def test_stream_is_exactly_once(spark):
     base = _dir()
     df = spark.createDataFrame(
